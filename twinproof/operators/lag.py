@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from twinproof.functions.logtext import heartbeat_stage
 from twinproof.functions.lsn import lag_bytes
-from twinproof.operators.ordered import CHUNK, Running, running
+from twinproof.operators.ordered import CHUNK
 
 STALL_EVERY = 3
 
@@ -31,41 +31,102 @@ def transition(before: Column, now: Column) -> Column:
     )
 
 
-def lag_transitions(samples: DataFrame, threshold: int, chunk: int = CHUNK) -> DataFrame:
-    """``slot, sample_no, lag, state``. A lag equal to the threshold counts as caught up; a slot starts behind."""
-    rows = _good(samples).select("slot", "sample_no", "lag").withColumn("_now", F.col("lag") <= threshold)
-    rows = running(
-        rows, ["slot"], "sample_no", {"_prev": Running("max", F.struct("sample_no", "_now"), inclusive=False)}, chunk
-    )
-    before = F.coalesce(F.col("_prev._now"), F.lit(False))
-    return rows.select("slot", "sample_no", "lag", transition(before, F.col("_now")).alias("state"))
+def lag_states(
+    samples: DataFrame, threshold: int, prior: DataFrame | None = None, every: int = STALL_EVERY, chunk: int = CHUNK
+) -> DataFrame:
+    """Both state machines, caught-up and stalled, along the samples of every slot.
+
+    ``slot, sample_no, source_lsn, confirmed_lsn, lag, caught_up, state, stale_run, stall``. ``prior``,
+    one row per slot ``slot, sample_no, caught_up, confirmed_lsn, stale_run``, continues earlier
+    samples; those not later than it are dropped, so sending a batch twice changes nothing.
 
+    A slot is cut into chunks of ``chunk`` positions. Windows run inside a chunk; what crosses a
+    border (last sample, rows so far, last fresh row) goes over one summary row per chunk. Rows and
+    summaries share one shuffle, and no task needs a whole slot.
+    """
+    rows = _good(samples).withColumn("caught_up", F.col("lag") <= threshold)
+    prior_columns = {"_p_no": "sample_no", "_p_caught": "caught_up", "_p_conf": "confirmed_lsn", "_p_run": "stale_run"}
+    if prior is None:
+        kinds = {"_p_caught": "boolean", "_p_conf": "decimal(20,0)", "_p_run": "bigint"}
+        rows = rows.withColumns({c: F.lit(None).cast(t) for c, t in kinds.items()})
+    else:
+        before = prior.select("slot", *[F.col(c).alias(p) for p, c in prior_columns.items()])
+        rows = rows.join(before, "slot", "left")
+        rows = rows.filter(F.col("_p_no").isNull() | (F.col("sample_no") > F.col("_p_no")))
+
+    inside = Window.partitionBy("slot", "_chunk").orderBy("sample_no")
+    local = rows.withColumn("_chunk", F.expr(f"sample_no div {chunk}")).select(
+        "*",
+        F.row_number().over(inside).alias("_i"),
+        F.lag(F.struct("confirmed_lsn", "caught_up")).over(inside).alias("_before"),
+    )
+    same = F.coalesce((F.col("_before.confirmed_lsn") == F.col("confirmed_lsn")) & (F.col("lag") > 0), F.lit(False))
+    # the first row of a chunk is judged by its summary
+    fresh_here = F.max(F.when((F.col("_i") > 1) & ~F.col("_same"), F.col("_i"))).over(inside)
+    local = local.withColumn("_same", same).withColumn("_fresh", fresh_here)
+
+    along = Window.partitionBy("slot").orderBy("_chunk")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    ends = (
+        local.groupBy("slot", "_chunk")
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.max("_fresh").alias("_fresh_in"),
+            F.min(F.struct("sample_no", "confirmed_lsn", "lag")).alias("_first"),
+            F.max(F.struct("sample_no", "confirmed_lsn", "caught_up")).alias("_last"),
+            *[F.any_value(c).alias(c) for c in ("_p_caught", "_p_conf")],
+        )
+        .select(
+            "*",
+            F.lag("_last").over(along).alias("_prev"),
+            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
+        )
+    )
+    last_confirmed = F.coalesce("_prev.confirmed_lsn", "_p_conf")
+    first_stale = F.coalesce((last_confirmed == F.col("_first.confirmed_lsn")) & (F.col("_first.lag") > 0), F.lit(False))
+    ends = ends.withColumn("_first_stale", first_stale)
+    newest_in = F.coalesce(F.col("_offset") + F.col("_fresh_in"), F.when(~F.col("_first_stale"), F.col("_offset") + 1))
+    ends = ends.withColumn("_newest_in", newest_in).select(
+        "slot",
+        "_chunk",
+        "_offset",
+        "_first_stale",
+        F.coalesce("_prev.caught_up", "_p_caught", F.lit(False)).alias("_was"),
+        F.max("_newest_in").over(earlier).alias("_newest_before"),
+    )
 
-def _stale_runs(samples: DataFrame, chunk: int) -> DataFrame:
-    """Samples with ``_stale`` and ``_run``, the number of stale samples in a row up to here."""
-    rows = _good(samples)
-    rows = running(
-        rows,
-        ["slot"],
+    first = F.col("_i") == 1
+    newest = F.coalesce(
+        F.col("_offset") + F.col("_fresh"), F.when(~F.col("_first_stale"), F.col("_offset") + 1), F.col("_newest_before")
+    )
+    nth = F.col("_offset") + F.col("_i")
+    # without a fresh row so far, the run began in an earlier batch
+    run = F.coalesce(nth - newest, nth + F.coalesce("_p_run", F.lit(0)))
+    was = F.when(first, F.col("_was")).otherwise(F.col("_before.caught_up"))
+    stale = F.when(first, F.col("_first_stale")).otherwise(F.col("_same"))
+    return local.join(ends, ["slot", "_chunk"], "left").select(
+        "slot",
         "sample_no",
-        {
-            "_prev": Running("max", F.struct("sample_no", "confirmed_lsn"), inclusive=False),
-            "_nth": Running("sum", F.lit(1).cast("bigint")),
-        },
-        chunk,
+        "source_lsn",
+        "confirmed_lsn",
+        "lag",
+        "caught_up",
+        transition(was, F.col("caught_up")).alias("state"),
+        run.alias("stale_run"),
+        (stale & (run % every == 0)).alias("stall"),
     )
-    stale = F.coalesce((F.col("_prev.confirmed_lsn") == F.col("confirmed_lsn")) & (F.col("lag") > 0), F.lit(False))
-    rows = rows.withColumn("_stale", stale)
-    fresh = F.when(~F.col("_stale"), F.col("_nth"))
-    rows = running(rows, ["slot"], "sample_no", {"_fresh": Running("max", fresh)}, chunk)
-    return rows.withColumn("_run", F.col("_nth") - F.coalesce("_fresh", F.lit(0)))
+
+
+def lag_transitions(samples: DataFrame, threshold: int, chunk: int = CHUNK) -> DataFrame:
+    """``slot, sample_no, lag, state``. A lag equal to the threshold counts as caught up; a slot starts behind."""
+    return lag_states(samples, threshold, chunk=chunk).select("slot", "sample_no", "lag", "state")
 
 
 def stalls(samples: DataFrame, every: int = STALL_EVERY, chunk: int = CHUNK) -> DataFrame:
     """``slot, sample_no, lag, stale_run`` where an alarm fires: each ``every``-th sample in a row
     with lag and no progress of the confirmed position."""
-    fires = F.col("_stale") & (F.col("_run") % every == 0)
-    return _stale_runs(samples, chunk).filter(fires).select("slot", "sample_no", "lag", F.col("_run").alias("stale_run"))
+    states = lag_states(samples, 0, every=every, chunk=chunk)
+    return states.filter("stall").select("slot", "sample_no", "lag", "stale_run")
 
 
 def cadence(
@@ -112,49 +173,3 @@ def apply_stats(samples: DataFrame) -> DataFrame:
         .agg(F.max("sample_no").alias("last_sample"), last.alias("_last"))
         .select("slot", "last_sample", F.col("_last.confirmed_lsn").alias("last_applied_lsn"), F.col("_last.lag").alias("last_lag"))
     )
-
-
-def lag_states(samples: DataFrame, threshold: int, prior: DataFrame, every: int = STALL_EVERY, chunk: int = CHUNK) -> DataFrame:
-    """Both state machines over one batch of samples that continues earlier ones.
-
-    ``prior`` has one row per slot: ``slot, sample_no, caught_up, confirmed_lsn, stale_run``. Result:
-    ``slot, sample_no, source_lsn, confirmed_lsn, lag, caught_up, state, stale_run, stall``.
-    Samples not later than the prior state are dropped, so sending a batch twice changes nothing.
-    """
-    before = prior.select(
-        "slot",
-        F.col("sample_no").alias("_p_no"),
-        F.col("caught_up").alias("_p_caught"),
-        F.col("confirmed_lsn").alias("_p_conf"),
-        F.col("stale_run").alias("_p_run"),
-    )
-    rows = _good(samples).join(before, "slot", "left").filter(F.col("_p_no").isNull() | (F.col("sample_no") > F.col("_p_no")))
-    rows = rows.withColumn("caught_up", F.col("lag") <= threshold)
-    rows = running(
-        rows,
-        ["slot"],
-        "sample_no",
-        {
-            "_prev": Running("max", F.struct("sample_no", "caught_up", "confirmed_lsn"), inclusive=False),
-            "_nth": Running("sum", F.lit(1).cast("bigint")),
-        },
-        chunk,
-    )
-    previous_confirmed = F.coalesce(F.col("_prev.confirmed_lsn"), F.col("_p_conf"))
-    stale = F.coalesce((previous_confirmed == F.col("confirmed_lsn")) & (F.col("lag") > 0), F.lit(False))
-    rows = rows.withColumn("_stale", stale)
-    rows = running(rows, ["slot"], "sample_no", {"_fresh": Running("max", F.when(~F.col("_stale"), F.col("_nth")))}, chunk)
-    # a run that began in an earlier batch goes on until the first fresh sample of this one
-    run = F.coalesce(F.col("_nth") - F.col("_fresh"), F.col("_nth") + F.coalesce("_p_run", F.lit(0)))
-    was = F.coalesce(F.col("_prev.caught_up"), F.col("_p_caught"), F.lit(False))
-    return rows.select(
-        "slot",
-        "sample_no",
-        "source_lsn",
-        "confirmed_lsn",
-        "lag",
-        "caught_up",
-        transition(was, F.col("caught_up")).alias("state"),
-        run.alias("stale_run"),
-        (F.col("_stale") & (run % every == 0)).alias("stall"),
-    )

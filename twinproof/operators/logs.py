@@ -126,8 +126,8 @@ def heartbeat_as_of(beats: DataFrame, marks: DataFrame, chunk: int = CHUNK) -> D
     return carried.filter(F.col("_at") % 2 == 1).select("log_id", "line_no", "_last.*")
 
 
-_BITS = 12
-_LEVELS = 3
+_BITS = 8
+_LEVELS = 4
 
 
 def first_reaching(beats: DataFrame, marks: DataFrame, bits: int = _BITS, levels: int = _LEVELS) -> DataFrame:
@@ -146,18 +146,16 @@ def first_reaching(beats: DataFrame, marks: DataFrame, bits: int = _BITS, levels
         up = members[-1].withColumn("pos", F.shiftright("pos", bits))
         members.append(up.groupBy("log_id", "pos").agg(F.max("top").alias("top")))
 
+    index = []
+    for level, rows in enumerate(members):
+        block_of = F.lit(0).cast("bigint") if level == levels - 1 else F.shiftright("pos", bits)
+        grouped = rows.groupBy("log_id", block_of.alias("_b"))
+        index.append(grouped.agg(F.sort_array(F.collect_list(F.struct("pos", "top"))).alias("_kids")))
+
     def look(cursor: DataFrame, level: int, block: str, behind: str) -> DataFrame:
         """First member of ``block`` past ``behind`` that reaches the target, as ``_hit``."""
-        of_member = F.lit(0).cast("bigint") if level == levels - 1 else F.shiftright("pos", bits)
-        wanted = cursor.filter(F.col(block).isNotNull()).select("log_id", F.col(block).alias("_b")).distinct()
-        kids = (
-            members[level]
-            .withColumn("_b", of_member)
-            .join(wanted, ["log_id", "_b"], "left_semi")
-            .groupBy("log_id", "_b")
-            .agg(F.sort_array(F.collect_list(F.struct("pos", "top"))).alias("_kids"))
-        )
-        found = cursor.join(kids.withColumnRenamed("_b", block), ["log_id", block], "left")
+        # the same index on the way up and down, so its shuffle is reused
+        found = cursor.join(index[level].withColumnRenamed("_b", block), ["log_id", block], "left")
         fits = F.filter("_kids", lambda k: (k["pos"] > F.col(behind)) & (k["top"] >= F.col("target_lsn")))
         return found.withColumn("_hit", F.get(fits, F.lit(0))).drop("_kids", block, behind)
 

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,12 +36,19 @@ def max_length(col: str, n: int) -> Rule:
     return Rule(f"too-long:{col}", F.char_length(col) > n)
 
 
-def castable(col: str, data_type: str) -> Rule:
-    return Rule(f"invalid-{data_type}:{col}", F.col(col).isNotNull() & F.col(col).try_cast(data_type).isNull())
+# Bits of the integer types.
+_INTEGERS = {"tinyint": 8, "smallint": 16, "int": 32, "integer": 32, "bigint": 64}
 
 
-def _holds(rule: Rule) -> Column:
-    return F.coalesce(rule.violated, F.lit(False))
+def castable(col: str, data_type: str) -> Rule:
+    text, name = F.col(col), f"invalid-{data_type}:{col}"
+    if data_type not in _INTEGERS:
+        return Rule(name, text.isNotNull() & text.try_cast(data_type).isNull())
+    # a failing try_cast costs an exception per row; the pattern leaves only a range to check
+    top = 1 << (_INTEGERS[data_type] - 1)
+    number = F.when(text.rlike(r"^\s*[+-]?0*[0-9]{1,38}\s*$"), F.trim(text).cast("decimal(38,0)"))
+    fits = number.between(F.lit(Decimal(-top)), F.lit(Decimal(top - 1)))
+    return Rule(name, text.isNotNull() & ~F.coalesce(fits, F.lit(False)))
 
 
 def check_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -82,37 +90,62 @@ def check_foreign_key(child: DataFrame, parent: DataFrame, on: Sequence[tuple[st
     return counted.join(parents, child_keys, "left_anti")
 
 
-def tag_violations(
-    df: DataFrame,
-    rules: Sequence[Rule] = (),
-    unique: Sequence[list[str]] = (),
-    foreign: Sequence[tuple[DataFrame, Sequence[tuple[str, str]]]] = (),
-) -> DataFrame:
-    """Every row plus ``violations ARRAY<STRING>``, the names of all rules it breaks.
+KeyPairs = Sequence[tuple[str, str]]
+
+
+def _flagged(
+    df: DataFrame, rules: Sequence[Rule], unique: Sequence[list[str]], foreign: Sequence[tuple[DataFrame, KeyPairs]]
+) -> tuple[DataFrame, list[tuple[str, Column]]]:
+    """The rows joined with the offending keys, and a never-NULL condition per rule name.
 
-    Key rules join the offending keys, each key once, so no row is ever doubled.
+    Offending keys are joined once each, so no row is ever doubled.
     """
-    tagged, broken = df, [F.when(_holds(r), F.lit(r.name)) for r in rules]
     offenders = [(f"unique:{','.join(keys)}", keys, check_unique(df, keys)) for keys in unique]
     for parent, on in foreign:
         child_keys = [c for c, _ in on]
         offenders.append((f"foreign-key:{','.join(child_keys)}", child_keys, check_foreign_key(df, parent, on)))
+    conditions = [(r.name, F.coalesce(r.violated, F.lit(False))) for r in rules]
     for i, (name, keys, bad) in enumerate(offenders):
-        tagged = tagged.join(bad.select(*keys, F.lit(True).alias(f"_bad{i}")), keys, "left")
-        broken.append(F.when(F.col(f"_bad{i}"), F.lit(name)))
-    violations = F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
-    return tagged.select(*df.columns, violations.alias("violations"))
+        df = df.join(bad.select(*keys, F.lit(True).alias(f"_bad{i}")), keys, "left")
+        conditions.append((name, F.col(f"_bad{i}").isNotNull()))
+    return df, conditions
+
+
+def _names(conditions: list[tuple[str, Column]]) -> Column:
+    # joined and split again: unlike array_compact, that stays inside generated code
+    text = F.concat_ws("\n", *[F.when(broken, F.lit(name)) for name, broken in conditions])
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "\n"))
 
 
-def split_valid(df: DataFrame, rules: Sequence[Rule] = (), tolerate: bool = True, **key_rules) -> tuple[DataFrame, DataFrame]:
+def tag_violations(
+    df: DataFrame,
+    rules: Sequence[Rule] = (),
+    unique: Sequence[list[str]] = (),
+    foreign: Sequence[tuple[DataFrame, KeyPairs]] = (),
+) -> DataFrame:
+    """Every row plus ``violations ARRAY<STRING>``, the names of all rules it breaks."""
+    flagged, conditions = _flagged(df, rules, unique, foreign)
+    violations = _names(conditions) if conditions else F.array().cast("array<string>")
+    return flagged.select(*df.columns, violations.alias("violations"))
+
+
+def split_valid(
+    df: DataFrame,
+    rules: Sequence[Rule] = (),
+    tolerate: bool = True,
+    unique: Sequence[list[str]] = (),
+    foreign: Sequence[tuple[DataFrame, KeyPairs]] = (),
+) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)``: good rows as they were, bad ones with their ``violations``.
 
     Without ``tolerate`` the first bad row fails the job that reads ``good``.
     """
-    tagged = tag_violations(df, rules, **key_rules)
-    if not tolerate:
-        broken = F.size("violations") > 0
-        message = F.concat(F.lit("row breaks "), F.array_join("violations", ", "))
-        tagged = tagged.withColumn("violations", F.when(broken, F.raise_error(message)).otherwise(F.col("violations")))
-    good = tagged.filter(F.size("violations") == 0).drop("violations")
-    return good, tagged.filter(F.size("violations") > 0)
+    flagged, conditions = _flagged(df, rules, unique, foreign)
+    broken = reduce(or_, [c for _, c in conditions], F.lit(False))
+    # names are put together for the bad rows only
+    bad = flagged.filter(broken).select(*df.columns, _names(conditions).alias("violations")) if conditions else flagged.limit(0)
+    keep = ~broken
+    if not tolerate and conditions:
+        message = F.concat(F.lit("row breaks "), F.array_join(_names(conditions), ", "))
+        keep = F.when(broken, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return flagged.filter(keep).select(*df.columns), bad

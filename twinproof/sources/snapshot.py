@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,11 @@ from twinproof.operators.scope import Scope
 
 
 def parquet_tables(spark: SparkSession, root: str, names: Iterable[str], schema: str = "public") -> dict[tuple[str, str], DataFrame]:
-    """Tables kept as ``root/<name>.parquet``."""
-    return {(schema, name): spark.read.parquet(f"{root}/{name}.parquet") for name in names}
+    """Tables kept as ``root/<name>.parquet``. Their footers are read side by side."""
+    names = list(names)
+    with ThreadPoolExecutor(8) as pool:
+        read = pool.map(lambda name: spark.read.parquet(f"{root}/{name}.parquet"), names)
+        return {(schema, name): df for name, df in zip(names, read, strict=True)}
 
 
 def read_snapshot(

@@ -340,7 +340,7 @@ def _parts(df: DataFrame, path: str, position: str, parts: int) -> None:
 def _streamed(spark: SparkSession, sf: str) -> KeyedTable:
     log, cut, root = d.changes(spark, sf), d.cut_lsn(spark, sf), work_dir(spark, "apply")
     # positions are dealt out over the files, so every batch but the first also brings older changes
-    _parts(log, f"{root}/changes", "lsn", 3)
+    _parts(log, f"{root}/changes", "lsn", 2)
     snapshot = _snapshot(log, cut)
     table = KeyedTable(f"{root}/target", ["user_id"], snapshot.schema, buckets=8)
     table.create(snapshot, changes.cut_position(log, cut))
@@ -429,7 +429,7 @@ def _states_sql(samples: str, threshold: int) -> str:
 
 @query(f"SELECT slot, sample_no, lag, state FROM ({_states_sql(d.LAG_SAMPLES, _THRESHOLD)})")
 def lag_transitions(spark, sf):
-    return lag.lag_transitions(d.lag_samples(spark, sf), _THRESHOLD)
+    return lag.lag_transitions(d.lag_samples(spark, sf), _THRESHOLD, chunk=4096)
 
 
 def _runs_sql(samples: str, threshold: int) -> str:
@@ -441,7 +441,7 @@ def _runs_sql(samples: str, threshold: int) -> str:
 
 @query(f"SELECT slot, sample_no, lag, stale_run FROM ({_runs_sql(d.HELD_SAMPLES, _THRESHOLD)}) WHERE stale AND stale_run % 3 = 0")
 def stalls(spark, sf):
-    return lag.stalls(d.held_samples(spark, sf))
+    return lag.stalls(d.held_samples(spark, sf), chunk=4096)
 
 
 @query(
@@ -472,8 +472,8 @@ def _monitored(spark: SparkSession, sf: str) -> DataFrame:
         {c: F.col(c).cast("decimal(20,0)") for c in ("source_lsn", "confirmed_lsn")}
     )
     span = samples.agg(F.expr("max(sample_no) + 1")).first()[0]
-    for i in range(3):  # in the order of the polls
-        part = samples.filter(F.col("sample_no").between(span * i // 3, span * (i + 1) // 3 - 1))
+    for i in range(2):  # in the order of the polls
+        part = samples.filter(F.col("sample_no").between(span * i // 2, span * (i + 1) // 2 - 1))
         part.coalesce(1).write.mode("append").parquet(f"{root}/samples")
     stream = read_lag_samples(spark, f"{root}/samples", stream=True, files_per_batch=1)
     monitor.lag_monitor(stream, f"{root}/out", f"{root}/checkpoint", threshold=_HELD_THRESHOLD).awaitTermination()
@@ -496,8 +496,7 @@ def lag_monitor_stream(spark, sf):
 )
 def progress_events(spark, sf):
     """Events written as text and read back: the source position comes out of the message."""
-    empty = spark.createDataFrame([], "slot string, sample_no bigint, caught_up boolean, confirmed_lsn bigint, stale_run bigint")
-    states = lag.lag_states(d.lag_samples(spark, sf), _THRESHOLD, empty)
+    states = lag.lag_states(d.lag_samples(spark, sf), _THRESHOLD, chunk=1024)
     events = monitor.progress_events(states)
     source = logtext.heartbeat_fields(F.col("message"))["source_lsn"].cast("bigint")
     return events.select("slot", "sample_no", "seq", "stage", source.alias("source_lsn"))
@@ -789,7 +788,7 @@ def caught_up_time(spark, sf):
     FROM (SELECT DISTINCT log_id, line_no FROM ({d.MARKS})) m ASOF LEFT JOIN ({d.BEATS}) b ON m.log_id = b.log_id AND m.line_no >= b.line_no"""
 )
 def heartbeat_as_of(spark, sf):
-    return logs.heartbeat_as_of(d.beats(spark, sf), d.marks(spark, sf))
+    return logs.heartbeat_as_of(d.beats(spark, sf), d.marks(spark, sf), chunk=4096)
 
 
 @query(
