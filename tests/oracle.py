@@ -56,7 +56,7 @@ def main() -> int:
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
-    spark: SparkSession = get_session("oracle", "local[8]", 8)
+    spark: SparkSession = get_session("oracle", "local[8]", 8, memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf), 0
     for name in names:

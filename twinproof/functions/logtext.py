@@ -63,8 +63,12 @@ def strip_error_prefix(line: Column) -> Column:
 
 def classify_error(message: Column) -> Column:
     """Category of a message whose prefix is already gone."""
-    lowered = F.lower(message)
-    category = F.when(message.isNull(), F.lit(None).cast("string"))
+    return classify_lowered(F.lower(message))
+
+
+def classify_lowered(lowered: Column) -> Column:
+    """``classify_error`` of a column that is lower case already, so that many tests share one conversion."""
+    category = F.when(lowered.isNull(), F.lit(None).cast("string"))
     for name, fragments in CATEGORY_FRAGMENTS.items():
         category = category.when(reduce(or_, [lowered.contains(f) for f in fragments]), F.lit(name))
     return category.otherwise(F.lit(OTHER))
@@ -79,8 +83,9 @@ def reported_ignored(line: Column) -> Column:
     """N of the closing "errors ignored" warning, NULL elsewhere or when N is no unsigned 32-bit number."""
     line = _trim_end(line)
     digits = F.regexp_extract(line, r"^" + IGNORED_PREFIX + r"\s*\+?(\d+)$", 1)
-    number = F.nullif(digits, F.lit("")).try_cast("bigint")
-    return F.when(number < (1 << 32), number)
+    # at most 18 digits, so the cast cannot fail; a plain prefix test spares all other lines the pattern
+    number = F.when(F.length(digits).between(1, 18), digits).cast("bigint")
+    return F.when(line.startswith(IGNORED_PREFIX) & (number < (1 << 32)), number)
 
 
 def split_qualified(name: Column) -> Column:

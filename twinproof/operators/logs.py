@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from twinproof.functions.logtext import (
     CATEGORIES,
-    classify_error,
+    ERROR_PREFIX,
+    classify_lowered,
     heartbeat_fields,
     reported_ignored,
     severity_rank,
@@ -29,11 +30,12 @@ LIKELY_SAFE = "likely safe"
 
 def error_lines(log: DataFrame) -> DataFrame:
     """``log_id, line_no, message, category`` of the error lines."""
-    return (
-        log.select("log_id", "line_no", strip_error_prefix(F.col("line")).alias("message"))
-        .filter(F.col("message").isNotNull())
-        .withColumn("category", classify_error(F.col("message")))
+    # the prefix test reaches the scan; text is converted once per line, in a projection of its own
+    found = log.filter(F.col("line").startswith(ERROR_PREFIX)).select(
+        "log_id", "line_no", strip_error_prefix(F.col("line")).alias("message")
     )
+    lowered = found.filter(F.col("message").isNotNull()).withColumn("_lowered", F.lower("message"))
+    return lowered.select("log_id", "line_no", "message", classify_lowered(F.col("_lowered")).alias("category"))
 
 
 def summarise_errors(log: DataFrame) -> DataFrame:
@@ -62,17 +64,17 @@ def error_samples(log: DataFrame, n: int = SAMPLES_PER_CATEGORY) -> DataFrame:
 
 def restore_verdict(log: DataFrame) -> DataFrame:
     """``log_id, errors, data_loss, reported, verdict``; the last reported number wins."""
-    message = strip_error_prefix(F.col("line"))
-    reported = reported_ignored(F.col("line"))
-    rows = log.select(
+    text = log.select(
         "log_id",
-        F.when(message.isNotNull(), classify_error(message)).alias("category"),
-        F.when(reported.isNotNull(), F.struct("line_no", reported.alias("n"))).alias("reported"),
+        "line_no",
+        F.lower(strip_error_prefix(F.col("line"))).alias("_lowered"),
+        reported_ignored(F.col("line")).alias("_n"),
     )
+    rows = text.select("log_id", "line_no", "_n", classify_lowered(F.col("_lowered")).alias("category"))
     totals = rows.groupBy("log_id").agg(
         F.count("category").alias("errors"),
         F.count_if(F.col("category") == CATEGORIES[0]).alias("data_loss"),
-        F.max("reported").alias("_last"),
+        F.max(F.when(F.col("_n").isNotNull(), F.struct("line_no", F.col("_n").alias("n")))).alias("_last"),
     )
     verdict = F.when(F.col("data_loss") > 0, REVIEW).when(F.col("errors") == 0, NO_ERRORS).otherwise(LIKELY_SAFE)
     return totals.select("log_id", "errors", "data_loss", F.col("_last.n").alias("reported"), verdict.alias("verdict"))

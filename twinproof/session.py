@@ -8,7 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def get_session(app: str = "twinproof", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def get_session(
+    app: str = "twinproof", master: str | None = None, shuffle_partitions: int | None = None, memory: str | None = None
+) -> SparkSession:
     """A session with the settings the jobs here are planned for.
 
     AQE picks broadcast joins from measured sizes, splits skewed join partitions and merges small
@@ -24,6 +26,8 @@ def get_session(app: str = "twinproof", master: str | None = None, shuffle_parti
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if memory:  # heap of the one process in local mode
+        builder = builder.config("spark.driver.memory", memory)
     return builder.getOrCreate()
 
 
