@@ -58,21 +58,26 @@ def apply_changes(snapshot: DataFrame, changes: DataFrame, keys: list[str]) -> D
     while the changed keys are few: AQE turns the anti join into a broadcast from measured size.
     """
     latest = last_by_position(flatten(changes), keys).drop(*POSITION)
-    untouched = snapshot.join(latest.select(*keys), keys, "left_anti")
+    # the keys alone need no ranking: they are collapsed map-side
+    untouched = snapshot.join(changes.select("key.*").select(*keys).distinct(), keys, "left_anti")
     return untouched.unionByName(latest.filter(F.col("_op") != "D").drop("_op").select(*snapshot.columns))
 
 
 def merge_by_position(state: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of both, the later position winning per key. Deleted keys stay as ``_deleted`` rows.
 
-    Merging is idempotent and does not depend on the order of deltas. ``state`` has unique keys, so
-    at most one of its rows per changed key meets the delta; all others pass without a shuffle
-    when the delta is small.
+    Merging is idempotent and does not depend on the order of deltas. ``state`` has unique keys. Its
+    rows are read once and, while the changed keys are few, never shuffled; a second look at its key
+    columns alone tells which keys are new.
     """
-    changed = delta.select(*keys).distinct()
-    untouched = state.join(changed, keys, "left_anti")
-    touched = state.join(changed, keys, "left_semi")
-    return untouched.unionByName(last_by_position(touched.unionByName(delta), keys))
+    latest = last_by_position(delta, keys)
+    values = [c for c in state.columns if c not in keys]
+    newer = latest.select(*keys, F.struct(*values).alias("_new"))
+    later = (F.col("_new._pos") > F.col("_pos")) | ((F.col("_new._pos") == F.col("_pos")) & (F.col("_new._seq") > F.col("_seq")))
+    picked = [F.when(later, F.col(f"_new.`{c}`")).otherwise(F.col(c)).alias(c) for c in values]
+    kept = state.join(newer, keys, "left").select(*keys, *picked)
+    known = state.select(*keys).join(delta.select(*keys).distinct(), keys, "left_semi")
+    return kept.unionByName(latest.join(known, keys, "left_anti"))
 
 
 def snapshot_as_state(snapshot: DataFrame, cut: int | Column) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinproof.operators.changes import last_by_position, live_rows, merge_by_position, snapshot_as_state
+from twinproof.operators.changes import live_rows, merge_by_position, snapshot_as_state
 
 _STATE = [("_deleted", T.BooleanType()), ("_pos", T.LongType()), ("_seq", T.IntegerType())]
 _COMMIT_SCHEMA = "gen bigint, through bigint, buckets array<int>"
@@ -111,8 +111,7 @@ class KeyedTable:
     def state(self, spark: SparkSession) -> DataFrame:
         """Newest version of every row, deleted ones included, with positions."""
         by_gen, through, _ = self._current(spark)
-        delta = last_by_position(self._delta(spark, through).drop("_batch"), self.keys)
-        return merge_by_position(self._base(spark, by_gen), delta, self.keys)
+        return merge_by_position(self._base(spark, by_gen), self._delta(spark, through).drop("_batch"), self.keys)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Rows as of the last batch."""
@@ -131,7 +130,7 @@ class KeyedTable:
         delta = delta.filter(F.col("_batch") <= last).drop("_batch")
         # distinct bucket numbers, at most `self.buckets`
         touched = sorted(r["_bucket"] for r in self._bucketed(delta).select("_bucket").distinct().collect())
-        merged = merge_by_position(self._base(spark, by_gen, touched), last_by_position(delta, self.keys), self.keys)
+        merged = merge_by_position(self._base(spark, by_gen, touched), delta, self.keys)
         if safe_position is not None:
             merged = merged.filter(~F.col("_deleted") | (F.col("_pos") >= safe_position))
         self._write_base(merged, gen + 1)
