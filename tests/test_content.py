@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from twinproof.operators.content import bucket_checksums, content_hash, is_converged, locate_drift
+from twinproof.operators.content import bucket_checksums, content_hash, is_converged, locate_drift, ordered_hash
 
 COLS = ["id", "name", "qty"]
 
@@ -44,6 +44,18 @@ def test_digest_tells_nulls_separators_and_doubles_apart(spark, portable):
     assert len(set(digests)) == len(variants)
 
 
+def test_ordered_hash(spark):
+    base = widgets(spark)
+    text = F.concat_ws("|", *COLS)
+    assert tuple(ordered_hash(base, "id", text).first()) == (500, ordered_md5(base))
+    split = ordered_hash(base.repartition(5), "id", text, chunk=8).first()["digest"]  # three levels
+    assert split == ordered_hash(base, "id", text, chunk=8).first()["digest"] != ordered_md5(base)
+    assert split != ordered_hash(widgets(spark, {"42": ("42", "x", "84")}), "id", text, chunk=8).first()["digest"]
+    assert tuple(ordered_hash(base.limit(0), "id", text).first()) == (0, None)
+    with pytest.raises(ValueError, match="unique"):
+        ordered_hash(spark.range(9).select(F.lit(1).alias("id")), "id", chunk=8)
+
+
 def test_empty_is_never_converged(spark):
     empty = spark.createDataFrame([], "id string, name string, qty string")
     first = is_converged(empty, empty, ["id"], COLS).first()

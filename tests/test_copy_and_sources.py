@@ -7,6 +7,7 @@ from tests.conftest import rows
 from twinproof.operators import maintain, quality
 from twinproof.operators.scope import Scope
 from twinproof.plans import copy as copying
+from twinproof.plans.offline import copy_offline
 from twinproof.sinks.archive import load_table, parse_compression, write_archive
 from twinproof.sources import generate, snapshot
 from twinproof.sources.logs import read_progress, read_restore_log
@@ -66,6 +67,12 @@ def test_copy_and_resume(spark, tmp_path):
         copying.copy_tables(spark, source, "elsewhere", target, resume=True)
 
 
+def test_offline_copy_is_verified(spark, tmp_path):
+    manifest, report = copy_offline(spark, tables(spark), "s", str(tmp_path / "a"), Scope(schemas=["app"]), mode="strict")
+    assert manifest.count() == 2 and rows(report) == [("app", "a", 10, 10), ("app", "b", 0, 0)]
+    assert copy_offline(spark, tables(spark), "s", str(tmp_path / "b"), Scope(what="schema-only"))[1] is None
+
+
 def test_fingerprint_ignores_order_and_sees_excludes():
     a = copying.fingerprint("s", "t", Scope(schemas=["x", "y"], tables=[("p", "q"), ("a", "b")]))
     assert a == copying.fingerprint("s", "t", Scope(schemas=["y", "x"], tables=[("a", "b"), ("p", "q")]))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinproof.functions.rowhash import LANES, digest_text, hash_column, lanes
+from twinproof.functions.rowhash import LANES, digest_text, hash_column, lanes, row_text
 
 _LANE_NAMES = [f"lane{i}" for i in range(LANES)]
 
@@ -61,6 +61,31 @@ def content_hash(
     return total.select("n", F.when(F.col("n") > 0, digest).alias("digest"))
 
 
+def ordered_hash(df: DataFrame, key: str, text: Column | None = None, cols: list[str] | None = None, chunk: int = 1 << 16) -> DataFrame:
+    """One row ``n, digest``: md5 over the row texts joined by commas in the order of an integer key.
+
+    Taken in chunks of ``chunk`` keys, whose digests are joined and hashed again, level by level; a
+    table that fits one chunk has the plain md5 of its text. A chunk is put together in one task, so
+    the key must be unique: a chunk with more rows than keys is refused before anything is joined.
+    ``text`` is the row text, by default that of ``cols`` with lengths and NULL marks.
+    """
+    rows = df.select(F.col(key).cast("bigint").alias("_at"), (row_text(df, cols or df.columns) if text is None else text).alias("_text"))
+    sizes = df.groupBy(F.expr(f"floor(CAST(`{key}` AS BIGINT) / {chunk})").alias("_c")).count()
+    extent = sizes.agg(F.max("count"), F.min("_c"), F.max("_c"), F.sum("count")).first()
+    if extent[0] is not None and extent[0] > chunk:
+        raise ValueError(f"{key} is not unique")
+
+    def fold(level: DataFrame) -> DataFrame:
+        grouped = level.groupBy(F.floor(F.col("_at") / chunk).alias("_at"))
+        return grouped.agg(F.md5(F.expr("listagg(_text, ',') WITHIN GROUP (ORDER BY _at)")).alias("_text"))
+
+    low, high = extent[1], extent[2]
+    level = fold(rows)
+    while low is not None and low != high:
+        level, low, high = fold(level), low // chunk, high // chunk
+    return level.agg(F.lit(extent[3] or 0).cast("bigint").alias("n"), F.max("_text").alias("digest"))
+
+
 def differing_buckets(source: DataFrame, target: DataFrame, keys: list[str], cols: list[str], buckets: int, portable: bool) -> DataFrame:
     """Buckets whose rows are not the same on both sides; never more than ``buckets`` rows."""
 

@@ -16,6 +16,7 @@ from twinproof.operators.counts import TableMap
 from twinproof.operators.quality import Rule, check_unique, tag_violations
 from twinproof.operators.scope import Scope
 from twinproof.sinks.archive import write_archive
+from twinproof.sinks.files import exists
 from twinproof.sources.snapshot import read_snapshot
 
 MANIFEST_SCHEMA = "fingerprint string, schema_name string, table_name string, state string, rows bigint, finished timestamp"
@@ -52,11 +53,6 @@ def read_manifest(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).parquet(_manifest_path(target))
 
 
-def _has_manifest(spark: SparkSession, target: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(_manifest_path(target))
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
 def pending_tables(spark: SparkSession, names: Sequence[tuple[str, str]], manifest: DataFrame) -> DataFrame:
     """Listed tables the manifest does not have as done."""
     wanted = spark.createDataFrame(list(names), "schema_name string, table_name string")
@@ -96,7 +92,7 @@ def copy_tables(
     mark = fingerprint(source, target, scope)
     kept = read_snapshot(tables, scope, cut_lsn)
     names = list(kept)
-    if resume and _has_manifest(spark, target):
+    if resume and exists(spark, _manifest_path(target)):
         manifest = read_manifest(spark, target)
         if manifest.filter(F.col("fingerprint") != mark).limit(1).count():
             raise ResumeRefused("scope or endpoints changed since this copy was started")

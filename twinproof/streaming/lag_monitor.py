@@ -10,15 +10,19 @@ from twinproof.functions.logtext import heartbeat_stage
 from twinproof.functions.lsn import format_lsn
 from twinproof.operators.lag import STALL_EVERY, lag_states
 from twinproof.operators.ordered import CHUNK
+from twinproof.sinks.files import exists, remove
 
 _PRIOR = "slot string, sample_no bigint, caught_up boolean, confirmed_lsn decimal(20,0), stale_run bigint"
 
 
+def _carried(path: str, batch_id: int) -> str:
+    return f"{path}/carried/{batch_id}"
+
+
 def _prior(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    """State before this batch: the part with the highest batch number below it."""
-    stored = spark.read.schema(f"{_PRIOR}, _batch bigint").parquet(path).filter(F.col("_batch") < batch_id)
-    last = stored.agg(F.max("_batch")).first()[0]
-    return stored.filter(F.col("_batch") == F.lit(-1 if last is None else last)).drop("_batch")
+    """State after the batch before this one; batch numbers have no gaps, restarts included."""
+    before = _carried(path, batch_id - 1)
+    return spark.read.schema(_PRIOR).parquet(before) if exists(spark, before) else spark.createDataFrame([], _PRIOR)
 
 
 def lag_monitor(
@@ -35,30 +39,30 @@ def lag_monitor(
 
     A per-slot state function would run all samples of a slot one by one in one task. Here each
     batch runs the chunked window jobs, and one row per slot goes on to the next batch. Both are
-    parts named by the batch, so a batch that runs again reads the same state and writes the same.
+    named by the batch, so a batch that runs again reads the same state and writes the same.
     """
-    spark = samples.sparkSession
-    states, carried = f"{path}/states", f"{path}/carried"
-    spark.createDataFrame([], _PRIOR).write.mode("append").parquet(carried)
-
-    def put(df: DataFrame, name: str, batch_id: int) -> None:
-        df.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("_batch").parquet(name)
+    states = f"{path}/states"
 
     def step(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        prior = _prior(session, carried, batch_id)
-        put(lag_states(batch, threshold, prior, every, chunk), states, batch_id)
-        done = session.read.parquet(states).filter(F.col("_batch") == batch_id)
-        last = done.groupBy("slot").agg(
-            F.max("sample_no").alias("sample_no"),
-            F.max_by(F.struct("caught_up", F.col("confirmed_lsn").cast("decimal(20,0)").alias("confirmed_lsn"), "stale_run"), "sample_no").alias("s"),
-        )
+        prior = _prior(session, path, batch_id)
+        found = lag_states(batch, threshold, prior, every, chunk).withColumn("_batch", F.lit(batch_id).cast("bigint"))
+        found.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(states)
+        done = session.read.schema(found.schema).parquet(states).filter(F.col("_batch") == batch_id)
+        after = F.struct("caught_up", F.col("confirmed_lsn").cast("decimal(20,0)").alias("confirmed_lsn"), "stale_run")
+        last = done.groupBy("slot").agg(F.max("sample_no").alias("sample_no"), F.max_by(after, "sample_no").alias("s"))
         moved = last.select("slot", "sample_no", "s.*")
-        put(moved.unionByName(prior.join(moved, "slot", "left_anti")), carried, batch_id)
-
-    return samples.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+        everything = moved.unionByName(prior.join(moved, "slot", "left_anti"))
+        everything.coalesce(1).write.mode("overwrite").parquet(_carried(path, batch_id))
+        # a batch that runs again needs the one before it and nothing older
+        remove(session, _carried(path, batch_id - 2))
+
+    return (
+        samples.writeStream.foreachBatch(step)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
 
 
 def read_states(spark: SparkSession, path: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinproof.operators.changes import live_rows, merge_by_position, snapshot_as_state
+from twinproof.sinks.files import folders, remove
 
 _STATE = [("_deleted", T.BooleanType()), ("_pos", T.LongType()), ("_seq", T.IntegerType())]
 _COMMIT_SCHEMA = "gen bigint, through bigint, buckets array<int>"
@@ -141,18 +142,13 @@ class KeyedTable:
         """Delete files no reader of the current state opens: old bucket versions and folded batches."""
         by_gen, through, _ = self._current(spark)
         live = {f"_gen={g}/_bucket={b}" for g, buckets in by_gen.items() for b in buckets}
-        root = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-
-        def parts(sub: str) -> list:
-            path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{sub}")
-            return [s.getPath() for s in fs.listStatus(path) if s.isDirectory()]
-
-        old = [b for g in parts("base") for b in parts(f"base/{g.getName()}") if f"{g.getName()}/{b.getName()}" not in live]
-        for path in parts("delta"):
-            name = path.getName()
-            if name.startswith("_batch=") and int(name.split("=")[1]) <= through:
-                old.append(path)
+        old = []
+        for gen in folders(spark, f"{self.path}/base"):
+            parts = [f"{gen}/{b}" for b in folders(spark, f"{self.path}/base/{gen}")]
+            old += [f"{self.path}/base/{p}" for p in parts if p not in live]
+        for batch in folders(spark, f"{self.path}/delta"):
+            if batch.startswith("_batch=") and int(batch.split("=")[1]) <= through:
+                old.append(f"{self.path}/delta/{batch}")
         for path in old:
-            fs.delete(path, True)
-        return [p.toString() for p in old]
+            remove(spark, path)
+        return old

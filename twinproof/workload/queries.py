@@ -211,6 +211,17 @@ def content_hash(spark, sf):
     return _union(parts)
 
 
+@query(
+    f"""SELECT max(m) AS n, md5(string_agg(h, ',' ORDER BY c)) AS digest FROM (
+    SELECT o_orderkey // 4096 AS c, md5(string_agg({_row_text(_ORDERS)}, ',' ORDER BY o_orderkey)) AS h, (SELECT count(*) FROM orders) AS m
+    FROM orders GROUP BY 1)"""
+)
+def ordered_hash(spark, sf):
+    """The hash of the sorted table, in chunks of 4096 keys."""
+    orders = _money(d.load(spark, sf, "orders"), "o_totalprice")
+    return content.ordered_hash(orders, "o_orderkey", cols=list(_ORDERS), chunk=4096)
+
+
 @query(f"SELECT CAST(g AS INTEGER) AS bucket, n, {_DIGEST} AS digest FROM ({_lane_sums('orders', _ORDERS, 'o_orderkey % 64')})")
 def bucket_checksums(spark, sf):
     orders = _money(d.load(spark, sf, "orders"), "o_totalprice")
@@ -702,6 +713,15 @@ def error_categories(spark, sf):
     return logs.summarise_errors(d.restore_log(spark, sf))
 
 
+@query(
+    f"""SELECT category, CAST(CASE category WHEN 'data-loss' THEN 0 WHEN 'duplicate' THEN 1 WHEN 'privilege' THEN 2
+    WHEN 'extension' THEN 3 ELSE 4 END AS BIGINT) AS severity, count(*) AS errors FROM ({_ERRORS}) GROUP BY 1"""
+)
+def error_severity(spark, sf):
+    found = logs.error_lines(d.restore_log(spark, sf)).groupBy("category").agg(F.count(F.lit(1)).alias("errors"))
+    return logs.order_by_severity(found).select("category", logtext.severity_rank(F.col("category")).cast("bigint").alias("severity"), "errors")
+
+
 @query(
     f"""SELECT * FROM (SELECT log_id, category, CAST(row_number() OVER (PARTITION BY log_id, category ORDER BY line_no) AS INTEGER) AS nth,
     line_no, message FROM ({_ERRORS})) WHERE nth <= 5"""
@@ -843,11 +863,38 @@ def table_stats(spark, sf):
     return _union(parts)
 
 
-@query()
+# fixed width in bytes, or None for text
+_WIDTHS = {
+    "region": {"r_regionkey": 4, "r_name": None},
+    "nation": {"n_nationkey": 4, "n_name": None, "n_regionkey": 4},
+    "customer": {"c_custkey": 8, "c_name": None, "c_nationkey": 4, "c_acctbal": 8, "c_mktsegment": None},
+    "supplier": {"s_suppkey": 8, "s_name": None, "s_nationkey": 4, "s_acctbal": 8},
+    "part": {"p_partkey": 8, "p_name": None, "p_brand": None, "p_type": None, "p_size": 4, "p_retailprice": 8},
+    "lineitem": {"l_orderkey": 8, "l_partkey": 8, "l_linenumber": 4, "l_quantity": 8, "l_returnflag": None, "l_shipdate": 8},
+    "documents": {"doc_id": 8, "text": None, "lang": None, "source": None, "n_chars": 8},
+    "conversations": {"conv_id": 8, "turn": 8, "role": None, "text": None},
+}
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS rows, count(*) FILTER ({c} IS NULL) AS nulls,
+        CAST({width or f"max(strlen({c}))"} AS BIGINT) AS max_width, true AS close FROM {t}"""
+        for t, cols in _WIDTHS.items()
+        for c, width in cols.items()
+    )
+)
 def table_stats_approx(spark, sf):
-    """Sketched distinct counts over every column of every flat table, as one would after a load."""
-    tables = [n for n in d.TABLES if n != "embeddings"]
-    return _union([stats.table_stats(d.load(spark, sf, t)).select(F.lit(t).alias("table_name"), "*") for t in tables])
+    """Profiles with sketched distinct counts; ``close`` says that a sketch is within a fifth of the exact count."""
+    parts = []
+    for t, cols in _WIDTHS.items():
+        df = d.load(spark, sf, t)
+        sketch = stats.table_stats(df, list(cols))
+        exact = df.select(*[F.count_distinct(c).alias(c) for c in cols]).unpivot([], list(cols), "column_name", "exact")
+        close = (F.abs(F.col("ndv") - F.col("exact")) <= F.col("exact") * 0.2).alias("close")
+        both = sketch.join(exact, "column_name")
+        parts.append(both.select(F.lit(t).alias("table_name"), "column_name", "rows", "nulls", "max_width", close))
+    return _union(parts)
 
 
 _SIZES = {
