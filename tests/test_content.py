@@ -71,6 +71,18 @@ def test_digest_of_all_types(spark):
         assert content_hash(df, ["k"], df.columns, portable=portable).first()["n"] == 1
 
 
+@pytest.mark.parametrize("portable", [True, False])
+def test_digest_of_maps_and_nested_nulls(spark, portable):
+    def digest(value):
+        df = spark.sql(f"SELECT 1 AS k, {value} AS v")
+        return content_hash(df, ["k"], ["k", "v"], portable=portable).first()["digest"]
+
+    assert digest("map('a', 1, 'b', 2)") == digest("map('b', 2, 'a', 1)") != digest("map('a', 2, 'b', 1)")
+    assert digest("CAST(NULL AS map<string,int>)") != digest("CAST(map() AS map<string,int>)")
+    assert digest("array(1, NULL)") != digest("array(NULL, 1)") or not portable
+    assert digest("CAST(NULL AS array<int>)") != digest("CAST(array() AS array<int>)")
+
+
 def test_bucket_checksums_point_at_the_change(spark):
     a = spark.range(1000).withColumn("v", F.col("id") * 2)
     b = a.withColumn("v", F.when(F.col("id") == 77, 0).otherwise(F.col("v")))

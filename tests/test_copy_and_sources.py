@@ -100,6 +100,20 @@ def test_sections(spark, tmp_path):
         copying.copy_in_sections(df, path, keys=["k"], tolerate=False)
 
 
+def test_clustering_splits_a_key_that_repeats(spark):
+    df = spark.range(4000).select(F.when(F.col("id") % 4 == 0, F.col("id")).otherwise(7).alias("k"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = copying.cluster_rows(df, ["k"]).select("k", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = spark.createDataFrame(placed, "k bigint, p int")
+    assert parts.count() == 4000
+    assert parts.filter("k = 7").select("p").distinct().count() > 1
+    ranges = parts.filter("k <> 7").groupBy("p").agg(F.min("k").alias("low"), F.max("k").alias("high")).orderBy("low").collect()
+    assert all(a["high"] < b["low"] for a, b in zip(ranges, ranges[1:]))
+
+
 def test_snapshot_cut(spark):
     log = spark.createDataFrame([(1, "a"), (5, "b"), (6, "c")], "lsn bigint, v string")
     got = snapshot.read_snapshot({("s", "log"): log, ("s", "plain"): spark.range(2)}, Scope(schemas=["s"]), cut_lsn=5)

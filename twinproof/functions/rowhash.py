@@ -11,6 +11,13 @@ _LANE_BITS = 24
 _LANE_MASK = (1 << _LANE_BITS) - 1
 
 
+def _nested_text(col: Column, data_type: T.DataType) -> Column:
+    """Text of a nested value; the entries of a map have no order of their own, so they are sorted."""
+    if isinstance(data_type, T.MapType):
+        col = F.array_sort(F.map_entries(col))
+    return F.to_json(F.struct(col.alias("v")))
+
+
 def _text(name: str, data_type: T.DataType) -> Column:
     """Text of one value that any SQL engine can reproduce for the common types."""
     col = F.col(f"`{name}`")
@@ -26,7 +33,7 @@ def _text(name: str, data_type: T.DataType) -> Column:
         # only free text can contain the separator; its length in front keeps the row text unambiguous
         return F.concat(F.char_length(col).cast("string"), F.lit(":"), col)
     if isinstance(data_type, (T.ArrayType, T.StructType, T.MapType)):
-        nested = F.to_json(F.struct(col.alias("v")))
+        nested = F.when(col.isNotNull(), _nested_text(col, data_type))
         return F.concat(F.char_length(nested).cast("string"), F.lit(":"), nested)
     return col.cast("string")
 
@@ -40,7 +47,9 @@ def row_text(df: DataFrame, cols: list[str]) -> Column:
 def _hash64(df: DataFrame, cols: list[str]) -> Column:
     # the hash skips NULLs, so the NULL flags go in as well: (NULL, 1) and (1, NULL) must differ
     types = {f.name: f.dataType for f in df.schema.fields}
-    values = [F.to_json(F.struct(F.col(f"`{c}`"))) if isinstance(types[c], T.MapType) else F.col(f"`{c}`") for c in cols]
+    values = [
+        _nested_text(F.col(f"`{c}`"), types[c]) if "map<" in types[c].simpleString() else F.col(f"`{c}`") for c in cols
+    ]
     flags = [F.isnull(F.col(f"`{c}`")) for c in cols]
     return F.xxhash64(*flags, *values)
 

@@ -140,12 +140,14 @@ def split_valid(
 
     Without ``tolerate`` the first bad row fails the job that reads ``good``.
     """
+    if not (rules or unique or foreign):
+        raise ValueError("no rule given")
     flagged, conditions = _flagged(df, rules, unique, foreign)
-    broken = reduce(or_, [c for _, c in conditions], F.lit(False))
+    broken = reduce(or_, [c for _, c in conditions])
     # names are put together for the bad rows only
-    bad = flagged.filter(broken).select(*df.columns, _names(conditions).alias("violations")) if conditions else flagged.limit(0)
+    bad = flagged.filter(broken).select(*df.columns, _names(conditions).alias("violations"))
     keep = ~broken
-    if not tolerate and conditions:
+    if not tolerate:
         message = F.concat(F.lit("row breaks "), F.array_join(_names(conditions), ", "))
         keep = F.when(broken, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
     return flagged.filter(keep).select(*df.columns), bad

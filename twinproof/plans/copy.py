@@ -62,7 +62,7 @@ def pending_tables(spark: SparkSession, names: Sequence[tuple[str, str]], manife
 def _copy_one(df: DataFrame, path: str, what: str, compress: str | None) -> int:
     """Write one table and return its row count, counted by the write itself."""
     if what == "schema-only":
-        write_archive(df.limit(0), path, compress, mode="overwrite")
+        write_archive(df.sparkSession.createDataFrame([], df.schema), path, compress, mode="overwrite")
         return 0
     counter = Observation()
     counted = df.observe(counter, F.count(F.lit(1)).alias("rows"))
@@ -113,8 +113,13 @@ def copy_tables(
 
 
 def cluster_rows(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows in key ranges, sorted inside each file: what an index gives a reader, row groups that can be skipped."""
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    """Rows in key ranges, sorted inside each file: what an index gives a reader, row groups that can be skipped.
+
+    The row's number in its input task is the last part of the range, so a key that very many rows
+    share, copies of one row included, is spread over several files.
+    """
+    salted = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(1024)))
+    return salted.repartitionByRange(*keys, "_salt").sortWithinPartitions(*keys).drop("_salt")
 
 
 def copy_in_sections(

@@ -53,7 +53,7 @@ def lag_monitor(
         last = done.groupBy("slot").agg(F.max("sample_no").alias("sample_no"), F.max_by(after, "sample_no").alias("s"))
         moved = last.select("slot", "sample_no", "s.*")
         everything = moved.unionByName(prior.join(moved, "slot", "left_anti"))
-        everything.coalesce(1).write.mode("overwrite").parquet(_carried(path, batch_id))
+        everything.write.mode("overwrite").parquet(_carried(path, batch_id))
         # a batch that runs again needs the one before it and nothing older
         remove(session, _carried(path, batch_id - 2))
 

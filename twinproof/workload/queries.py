@@ -212,7 +212,7 @@ def content_hash(spark, sf):
 
 
 @query(
-    f"""SELECT max(m) AS n, md5(string_agg(h, ',' ORDER BY c)) AS digest FROM (
+    f"""SELECT max(m) AS n, CASE WHEN count(*) = 1 THEN max(h) ELSE md5(string_agg(h, ',' ORDER BY c)) END AS digest FROM (
     SELECT o_orderkey // 4096 AS c, md5(string_agg({_row_text(_ORDERS)}, ',' ORDER BY o_orderkey)) AS h, (SELECT count(*) FROM orders) AS m
     FROM orders GROUP BY 1)"""
 )
@@ -305,7 +305,7 @@ _APPLIED = f"""
 def _snapshot(log: DataFrame, cut: int) -> DataFrame:
     """State at the cut, itself the result of applying the log so far to nothing."""
     before = log.filter(F.col("lsn") <= cut)
-    empty = changes.flatten(before).select(*d.ROW_COLUMNS).limit(0)
+    empty = log.sparkSession.createDataFrame([], changes.flatten(before).select(*d.ROW_COLUMNS).schema)
     return changes.apply_changes(empty, before, ["user_id"])
 
 
@@ -342,21 +342,19 @@ def unknown_tables(spark, sf):
     return changes.unknown_tables(d.changes(spark, sf), d.listing(spark, sf).filter("NOT is_partition"))
 
 
-def _parts(df: DataFrame, path: str, position: str, parts: int) -> None:
-    """Write in ``parts`` files one after the other, so that a stream reads them in this order."""
-    for i in range(parts):
-        df.filter(F.expr(f"{position} % {parts} = {i}")).coalesce(1).write.mode("append").parquet(path)
-
-
 def _streamed(spark: SparkSession, sf: str) -> KeyedTable:
+    """Change apply in two runs from one checkpoint.
+
+    Positions are dealt out over the runs, so the second one also brings changes older than those applied.
+    """
     log, cut, root = d.changes(spark, sf), d.cut_lsn(spark, sf), work_dir(spark, "apply")
-    # positions are dealt out over the files, so every batch but the first also brings older changes
-    _parts(log, f"{root}/changes", "lsn", 2)
     snapshot = _snapshot(log, cut)
     table = KeyedTable(f"{root}/target", ["user_id"], snapshot.schema, buckets=8)
     table.create(snapshot, changes.cut_position(log, cut))
-    stream = read_changes(spark, f"{root}/changes", log.schema, files_per_batch=1)
-    apply_stream(stream, table, f"{root}/checkpoint", cut_lsn=cut).awaitTermination()
+    for i in (1, 0):
+        log.filter(F.col("lsn") % 2 == i).write.mode("append").parquet(f"{root}/changes")
+        stream = read_changes(spark, f"{root}/changes", log.schema)
+        apply_stream(stream, table, f"{root}/checkpoint", cut_lsn=cut).awaitTermination()
     return table
 
 
@@ -376,12 +374,12 @@ def compact_target(spark, sf):
 @query(f"SELECT count(*) AS n, true AS converged FROM ({_APPLIED})")
 def online_copy(spark, sf):
     log, cut, root = d.changes(spark, sf), d.cut_lsn(spark, sf), work_dir(spark, "online")
-    _parts(log, f"{root}/changes", "lsn", 2)
+    log.write.parquet(f"{root}/changes")
     snapshot = _snapshot(log, cut)
     table = KeyedTable(f"{root}/target", ["user_id"], snapshot.schema, buckets=8)
     result = copy_online(
         snapshot,
-        read_changes(spark, f"{root}/changes", log.schema, files_per_batch=1),
+        read_changes(spark, f"{root}/changes", log.schema),
         table,
         f"{root}/checkpoint",
         cut_lsn=cut,
@@ -483,11 +481,11 @@ def _monitored(spark: SparkSession, sf: str) -> DataFrame:
         {c: F.col(c).cast("decimal(20,0)") for c in ("source_lsn", "confirmed_lsn")}
     )
     span = samples.agg(F.expr("max(sample_no) + 1")).first()[0]
-    for i in range(2):  # in the order of the polls
+    for i in range(2):  # in the order of the polls, the second run going on where the first one stopped
         part = samples.filter(F.col("sample_no").between(span * i // 2, span * (i + 1) // 2 - 1))
-        part.coalesce(1).write.mode("append").parquet(f"{root}/samples")
-    stream = read_lag_samples(spark, f"{root}/samples", stream=True, files_per_batch=1)
-    monitor.lag_monitor(stream, f"{root}/out", f"{root}/checkpoint", threshold=_HELD_THRESHOLD).awaitTermination()
+        part.write.mode("append").parquet(f"{root}/samples")
+        stream = read_lag_samples(spark, f"{root}/samples", stream=True)
+        monitor.lag_monitor(stream, f"{root}/out", f"{root}/checkpoint", threshold=_HELD_THRESHOLD).awaitTermination()
     return monitor.read_states(spark, f"{root}/out")
 
 
@@ -763,9 +761,11 @@ def split_qualified(spark, sf):
 def _read_restore(spark: SparkSession, sf: str) -> DataFrame:
     root = work_dir(spark, "restore-log")
     log = d.restore_log(spark, sf)
-    # one text file per log, its lines in order
-    log.repartition("log_id").sortWithinPartitions("log_id", "line_no").select("log_id", F.col("line").alias("value")).write.partitionBy("log_id").text(root)
-    return read_restore_log(spark, root)
+    # a folder per log; a long log is cut into several files
+    ordered = log.repartitionByRange("log_id", "line_no").sortWithinPartitions("log_id", "line_no")
+    ordered.select("log_id", F.col("line").alias("value")).write.partitionBy("log_id").text(root)
+    folder = F.regexp_extract("log_id", "log_id=([^/]*)/", 1)
+    return read_restore_log(spark, root).withColumn("log_id", folder)
 
 
 @query(f"SELECT category, count(*) AS errors, count(DISTINCT log_id) AS logs FROM ({_ERRORS}) GROUP BY 1")
