@@ -165,6 +165,8 @@ def test_analyze_goes_on_after_a_failure(spark, tmp_path):
         spark.range(5).write.parquet(str(tmp_path / name))
         spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{tmp_path / name}'")
     spark.sql("CREATE VIEW view_t AS SELECT 1 AS x")
+    found = snapshot.catalog_tables(spark, Scope(tables=[("default", "good_t")]))
+    assert [n for n in found] == [("default", "good_t")] and found["default", "good_t"].count() == 5
     report = {r["table_name"]: r["status"] for r in maintain.analyze_all(spark, Scope(schemas=["default"])).collect()}
     assert report["good_t"] == "analyzed" and report["view_t"] == "failed"
     for name in ("good_t", "bad_t"):

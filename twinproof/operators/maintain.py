@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 from twinproof.operators.counts import in_scope
 from twinproof.operators.scope import Scope
@@ -28,6 +29,6 @@ def analyze_all(spark: SparkSession, scope: Scope | None = None) -> DataFrame:
         try:
             spark.sql(f"ANALYZE TABLE `{schema}`.`{table}` COMPUTE STATISTICS FOR ALL COLUMNS")
             report.append((schema, table, "analyzed", None))
-        except AnalysisException as e:
+        except (PySparkException, Py4JJavaError) as e:
             report.append((schema, table, "failed", str(e)[:500]))
     return spark.createDataFrame(report, ANALYZE_SCHEMA)

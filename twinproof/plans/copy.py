@@ -94,7 +94,7 @@ def copy_tables(
     names = list(kept)
     if resume and exists(spark, _manifest_path(target)):
         manifest = read_manifest(spark, target)
-        if manifest.filter(F.col("fingerprint") != mark).limit(1).count():
+        if not manifest.filter(F.col("fingerprint") != mark).isEmpty():
             raise ResumeRefused("scope or endpoints changed since this copy was started")
         # one row per table of the copy
         names = [(r["schema_name"], r["table_name"]) for r in pending_tables(spark, names, manifest).collect()]

@@ -15,14 +15,15 @@ class VerifyFailed(RuntimeError):
 def verify(source: TableMap, target: TableMap, scope: Scope | None = None, mode: str = "strict") -> DataFrame | None:
     """Count report of both copies. Strict fails on a mismatch, warn prints it, off does nothing.
 
-    Run alone it is strict. The report has one row per table; only its summary row comes to the driver.
+    Run alone it is strict. The report has one row per table; the summary and the names of tables
+    that differ come to the driver.
     """
     if mode == "off":
         return None
     report = verify_row_counts(source, target, scope)
     summary = verify_summary(report, mode).first()
     if summary["bad"]:
-        names = ", ".join(f"{r['schema_name']}.{r['table_name']}" for r in mismatches(report).limit(20).collect())
+        names = ", ".join(f"{r['schema_name']}.{r['table_name']}" for r in mismatches(report).collect())
         text = f"{summary['message']}: {names}"
         if mode == "strict":
             raise VerifyFailed(text)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from twinproof.functions.lsn import lsn_literal
 from twinproof.operators.counts import in_scope
+from twinproof.operators.maintain import list_tables
 from twinproof.operators.scope import Scope
 
 
@@ -21,6 +22,12 @@ def parquet_tables(spark: SparkSession, root: str, names: Iterable[str], schema:
         return {(schema, name): df for name, df in zip(names, read, strict=True)}
 
 
+def catalog_tables(spark: SparkSession, scope: Scope | None = None) -> dict[tuple[str, str], DataFrame]:
+    """Tables of the session's catalog that are in scope."""
+    names = in_scope(dict.fromkeys(list_tables(spark, scope.schemas if scope and not scope.tables else ())), scope)
+    return {(schema, table): spark.table(f"`{schema}`.`{table}`") for schema, table in names}
+
+
 def read_snapshot(
     tables: dict[tuple[str, str], DataFrame], scope: Scope | None = None, cut_lsn: int | None = None
 ) -> dict[tuple[str, str], DataFrame]:

@@ -12,8 +12,10 @@ from twinproof.functions import logtext
 from twinproof.functions.lsn import format_lsn, parse_lsn
 from twinproof.operators import catalog, changes, content, counts, lag, logs, maintain, marks, quality, scope, stats
 from twinproof.plans import copy as copying
+from twinproof.plans.offline import copy_offline
 from twinproof.plans.online import copy_online
 from twinproof.session import work_dir
+from twinproof.sinks.archive import load_table, write_archive, write_split
 from twinproof.sources import generate
 from twinproof.sources.changes import read_changes
 from twinproof.sources.logs import read_lag_samples, read_progress, read_restore_log
@@ -1001,3 +1003,68 @@ def sectioned_copy(spark, sf):
     path = work_dir(spark, "sections")
     report = copying.copy_in_sections(_holes(spark, sf), path, keys=["l_orderkey", "l_linenumber"], rules=_rules(), cluster=True)
     return report.select(F.lit("lineitem").alias("table_name"), "rule", "rows")
+
+
+_SPECS = ["none", "gzip:6", "lz4:1", "zstd:3", "1"]
+
+
+@query(
+    " UNION ALL ".join(f"SELECT '{spec}' AS spec, count(*) AS rows, sum(o_orderkey)::BIGINT AS keys FROM orders" for spec in _SPECS)
+)
+def archive_codecs(spark, sf):
+    """Each compression spec written and read back."""
+    root, orders, parts = work_dir(spark, "archive"), d.load(spark, sf, "orders"), []
+    for i, spec in enumerate(_SPECS):
+        write_archive(orders, f"{root}/{i}", spec)
+        back = spark.read.parquet(f"{root}/{i}").agg(F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys"))
+        parts.append(back.select(F.lit(spec).alias("spec"), "rows", "keys"))
+    return _union(parts)
+
+
+@query(
+    """SELECT 'append' AS step, 2 * count(*) AS rows FROM customer UNION ALL SELECT 'replace', count(*) FROM customer
+    UNION ALL SELECT 'schema-only', 0 UNION ALL SELECT 'data-only', count(*) FROM customer"""
+)
+def load_modes(spark, sf):
+    """Appending, replacing, and a copy of the empty table that is filled afterwards."""
+    root, customer, parts = work_dir(spark, "load"), d.load(spark, sf, "customer"), []
+
+    def note(step: str, path: str) -> None:
+        # read once more right away: the next step changes the files
+        n = spark.read.parquet(path).count()
+        parts.append((step, n))
+
+    load_table(customer, f"{root}/t")
+    load_table(customer, f"{root}/t")
+    note("append", f"{root}/t")
+    load_table(customer, f"{root}/t", replace=True)
+    note("replace", f"{root}/t")
+    table = {("public", "customer"): customer}
+    for what in ("schema-only", "data-only"):
+        copying.copy_tables(spark, table, sf, f"{root}/copy", scope.Scope(what=what))
+        note(what, copying.table_path(f"{root}/copy", "public", "customer"))
+    return spark.createDataFrame(parts, "step string, rows bigint")
+
+
+_OFFLINE = ["nation", "customer", "orders", "lineitem"]
+
+
+@query(" UNION ALL ".join(f"SELECT 'public' AS schema_name, '{t}' AS table_name, count(*) AS source, count(*) AS target FROM {t}" for t in _OFFLINE if t != "nation"))
+def offline_copy(spark, sf):
+    """A scoped copy with its count report."""
+    tables = d.source_tables(spark, sf, _OFFLINE)
+    only = scope.Scope(schemas=["public"], exclude_tables=[("public", "nation")])
+    return copy_offline(spark, tables, sf, work_dir(spark, "offline"), only, mode="strict")[1]
+
+
+@query(f"SELECT violations <> '' AS quarantined, count(*) AS rows FROM ({_TAGGED}) GROUP BY 1")
+def quarantine_split(spark, sf):
+    """Good and bad rows written in one pass."""
+    path = work_dir(spark, "split")
+    parent = d.target_of(d.source_tables(spark, sf, ["orders"]))["public", "orders"]
+    tagged = quality.tag_violations(
+        _holes(spark, sf), _rules(), unique=[["l_orderkey", "l_linenumber"]], foreign=[(parent, [("l_orderkey", "o_orderkey")])]
+    )
+    write_split(tagged, path)
+    written = spark.read.parquet(path).groupBy((F.col("quarantined") == "true").alias("quarantined"))
+    return written.agg(F.count(F.lit(1)).alias("rows"))
