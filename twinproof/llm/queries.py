@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twinproof.llm import pii, quality_rules, simhash
 from twinproof.llm.secrets import BlobLedger
 from twinproof.session import work_dir
 
@@ -59,3 +60,42 @@ WITH pairs AS (
 SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
     sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents d LEFT JOIN by_doc b ON d.doc_id = b.doc_id"""
+
+
+@query
+def op4_disclosure(spark, sf):
+    """Personal data of all documents, with the words that give it away."""
+    docs = table(spark, sf, "documents")
+    return pii.report(docs, pii.find_personal_data(docs), ["doc_id"])
+
+
+@query
+def op8_simhash_balls(spark, sf):
+    """Near copies of all documents: fingerprint and component of each."""
+    return simhash.near_copies(table(spark, sf, "documents"))
+
+
+@query
+def op5_rule_cascade(spark, sf):
+    """Base numbers of all documents, and the verdict of the rule cascade."""
+    return quality_rules.judge(table(spark, sf, "documents"), ["doc_id"])
+
+
+ORACLE["op5_rule_cascade"] = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+windows AS (SELECT doc_id, i, array_to_string(words[i:i+7], ' ') AS win FROM w, unnest(range(1, len(words) - 6)) AS u(i)),
+repeats AS (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS n FROM windows),
+covered AS (SELECT doc_id, least(8, i - coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -8)) AS n FROM repeats WHERE n > 1),
+base AS (SELECT w.doc_id, text, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
+    FROM w LEFT JOIN (SELECT doc_id, sum(n) AS n FROM covered GROUP BY doc_id) c USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
+    NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR n_symbols * 5 > n_words OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words
+        OR n_dup_lines * 10 > 3 * len(string_split(text, chr(10)))
+        OR 2 * length(regexp_replace(text, '\P{Lu}+', '', 'g')) > length(regexp_replace(text, '\P{L}+', '', 'g'))
+        OR 5 * (length(text) - length(replace(text, '!', ''))) > n_words) AS kept
+FROM base"""
