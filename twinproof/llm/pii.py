@@ -65,29 +65,30 @@ def marked_texts(docs: DataFrame, text: str) -> DataFrame:
     return found.groupBy("blob").agg(F.first("content").alias("content"))
 
 
-def disclosing_terms(docs: DataFrame, text: str, marked: DataFrame, spans: DataFrame, rule: Disclosure = Disclosure()) -> tuple[DataFrame, DataFrame]:
-    """``(term, kind)`` of the words that give an entity away, and ``(blob, term)`` of the texts that hold a candidate."""
+def disclosing_terms(docs: DataFrame, text: str, marked: DataFrame, spans: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
+    """``(term, kind)`` of the words that give an entity away.
+
+    Words are counted over all different texts before they meet the candidates: what is shuffled is each task's
+    vocabulary, whatever the number of candidates and however frequent a word.
+    """
     at = spans.select("blob", "kind", "start", "end", F.when(F.col("kind") == "email", F.lower("match")).otherwise(_digits(F.col("match"))).alias("value"))
     begin = F.greatest(F.col("start") - rule.reach, F.lit(0))
-    near = F.concat_ws(
-        " ",
-        F.substring("content", begin + 1, F.col("start") - begin),
-        F.substring("content", F.col("end") + 1, F.lit(rule.reach)),
-    )
+    part = lambda at, n: F.substring("content", (at + 1).cast("int"), n.cast("int"))
+    near = F.concat_ws(" ", part(begin, F.col("start") - begin), part(F.col("end"), F.lit(rule.reach)))
     contexts = at.join(marked, "blob").select("kind", "value", F.array_sort(_terms(near)).alias("terms")).distinct()
-    candidates = contexts.select("kind", "value", F.explode("terms").alias("term")).groupBy("kind", "value", "term").agg(F.count("*").alias("n"))
-    candidates = written(candidates.where(F.col("n") >= rule.min_contexts).groupBy("term").agg(F.max("n").alias("n")), "pii-candidates")
-    every = docs.select(content_address(F.col(text)).alias("blob"), F.explode(_terms(F.col(text))).alias("term"))
-    hits = written(every.join(candidates.select("term"), "term", "left_semi").distinct(), "pii-hits")
-    known = hits.groupBy("term").agg(F.count("*").alias("df")).join(candidates, "term")
+    together = contexts.select("kind", "value", F.explode("terms").alias("term")).groupBy("kind", "value", "term").agg(F.count("*").alias("n"))
+    candidates = written(together.where(F.col("n") >= rule.min_contexts).groupBy("term").agg(F.max("n").alias("n")), "pii-candidates")
+    texts = docs.select(content_address(F.col(text)).alias("blob"), F.col(text).alias("content")).groupBy("blob").agg(F.first("content").alias("content"))
+    df = texts.select(F.explode(_terms(F.col("content"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     bits = -F.log2(F.least(F.lit(1.0), F.col("n") / F.col("df")))
     kind = F.when(bits <= rule.remove_bits, "remove").when(bits <= rule.generalise_bits, "generalise")
-    return known.select("term", kind.alias("kind")).where(F.col("kind").isNotNull()), hits
+    return df.join(candidates, "term").select("term", kind.alias("kind")).where(F.col("kind").isNotNull())
 
 
-def _term_spans(docs: DataFrame, text: str, terms: DataFrame, hits: DataFrame, spans: DataFrame) -> DataFrame:
+def _term_spans(docs: DataFrame, text: str, terms: DataFrame, spans: DataFrame) -> DataFrame:
     """Places of the given words, without those inside a base span."""
-    holds = written(hits.join(terms, "term").select("blob", "term", "kind"), "pii-terms")
+    every = docs.select(content_address(F.col(text)).alias("blob"), F.explode(_terms(F.col(text))).alias("term"))
+    holds = written(every.join(terms, "term").distinct(), "pii-holders")
     texts = docs.select(content_address(F.col(text)).alias("blob"), F.col(text).alias("content"))
     texts = texts.join(holds.select("blob").distinct(), "blob", "left_semi").groupBy("blob").agg(F.first("content").alias("content"))
     found = find_spans(texts, "blob", "content", [TERM]).select("blob", F.lower("match").alias("term"), "start", "end", "match")
@@ -102,16 +103,19 @@ def find_personal_data(docs: DataFrame, text: str = "text", rule: Disclosure = D
     """All spans ``(blob, kind, rank, start, end, match)`` per distinct text: base kinds first, then words that disclose."""
     marked = written(marked_texts(docs, text), "pii-marked")
     spans = written(find_spans(marked, "blob", "content", KINDS), "pii-base")
-    terms, hits = disclosing_terms(docs, text, marked, spans, rule)
-    return written(_term_spans(docs, text, terms, hits, spans), "pii-spans")
+    terms = written(disclosing_terms(docs, text, marked, spans, rule), "pii-terms")
+    return written(_term_spans(docs, text, terms, spans), "pii-spans")
 
 
 def report(docs: DataFrame, spans: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """Each row's ``keep`` columns with counts per base kind and the spans of its text, by kind and then start."""
+    def of(rank: int) -> Column:
+        return F.size(F.filter("all", lambda s: s["rank"] == rank))
+
     base = F.filter("all", lambda s: s["rank"] < len(KINDS))
     per = spans.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("rank", "start", "kind", "end"))).alias("all"))
     per = written(
-        per.select("blob", digest(F.col("all")).alias("spans"), digest(base).alias("base"), *[F.size(F.filter("all", lambda s, i=i: s["rank"] == i)).alias(f"n_{k.name}") for i, k in enumerate(KINDS)]),
+        per.select("blob", digest(F.col("all")).alias("spans"), digest(base).alias("base"), *[of(i).alias(f"n_{k.name}") for i, k in enumerate(KINDS)]),
         "pii-report",
     )
     rows = docs.select(*keep, content_address(F.col(text)).alias("blob")).join(per, "blob", "left")
@@ -137,12 +141,13 @@ def sanitise(docs: DataFrame, spans: DataFrame, text: str = "text") -> DataFrame
     merged = joined.groupBy("blob", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min_by(label, F.struct("start", "rank", "end")).alias("label"))
     merged = merged.withColumn("from", F.coalesce(F.lag("end").over(Window.partitionBy("blob").orderBy("start")), F.lit(0)))
     edits = merged.groupBy(F.col("blob").alias("_blob")).agg(F.sort_array(F.collect_list(F.struct("start", "from", "end", "label"))).alias("_edits"))
-    rows = docs.withColumn("_address", content_address(F.col(text))).join(written(edits, "pii-edits"), F.col("_address") == F.col("_blob"), "left")
-    body = F.col(text)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), content_address(F.col(text)).alias("_address"))
+    rows = rows.join(written(edits, "pii-edits"), F.col("_address") == F.col("_blob"), "left")
+    body = F.col("_row")[text]
     pieces = F.transform("_edits", lambda e: F.concat(F.substring(body, (e["from"] + 1).cast("int"), (e["start"] - e["from"]).cast("int")), e["label"]))
     tail = F.substring(body, (F.element_at("_edits", -1)["end"] + 1).cast("int"), F.length(body))
     new = F.when(F.col("_edits").isNull(), body).otherwise(F.concat(F.array_join(pieces, ""), tail))
-    out = {c: F.col(c) for c in docs.columns} | {text: new}
+    out = {c: F.col("_row")[c] for c in docs.columns} | {text: new}
     if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(F.col("_edits").isNull(), F.col("n_chars")).otherwise(F.length(new).cast(docs.schema["n_chars"].dataType))
+        out["n_chars"] = F.when(F.col("_edits").isNull(), out["n_chars"]).otherwise(F.length(new).cast(docs.schema["n_chars"].dataType))
     return rows.select(*[c.alias(n) for n, c in out.items()])
