@@ -22,17 +22,18 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinproof.llm.tables import held_out, words, written
+from twinproof.llm.tables import bind, held_out, words, written
 
 #: Upper ends of the bins of each feature; the last bin is open.
 BINS = {
     "symbols": (0.0, 0.02, 0.1, 0.3, 1.0, 2.0),
-    "capitals": (0.02, 0.08, 0.2, 0.5, 0.8),
+    "capitals": (0.02, 0.05, 0.1, 0.2, 0.5),
     "marks": (0.0, 0.02, 0.1, 0.3, 0.8),
     "variety": (0.05, 0.15, 0.3, 0.5, 0.7, 0.9),
-    "word_length": (2.0, 3.0, 4.0, 5.0, 6.0, 8.0, 12.0),
+    "repeats": (0.0, 0.01, 0.05, 0.2, 0.5),
+    "word_length": (3.0, 4.0, 5.0, 6.0, 8.0, 12.0),
     "lines": (0.3, 0.6, 0.9, 0.999),
-    "sentence": (1.5, 3.0, 8.0, 15.0, 40.0, 120.0),
+    "sentence": (3.0, 8.0, 15.0, 40.0, 120.0),
 }
 #: A place needs this many labels before its share tells anything of the spread between places.
 LEAST = 2
@@ -40,23 +41,36 @@ LEAST = 2
 WEAK, STRONG = 1.0, 10_000.0
 
 
-def features(text: Column) -> dict[str, Column]:
-    """Ratios per word, letter or line; zero where there is nothing to divide by."""
+def features(text: Column) -> Column:
+    """Ratios per word, letter or line, each with a few usual ones added, so that very short texts are no extremes."""
     body = F.coalesce(text, F.lit(""))
-    ratio = lambda n, d: F.when(d > 0, n / d).otherwise(0.0)
-    tokens = words(body)
-    n = F.size(tokens)
     count = lambda pattern: F.regexp_count(body, F.lit(pattern))
     lines = F.filter(F.split(body, "\n", -1), lambda x: x != "")
-    return {
-        "symbols": ratio(count(r"[#*$%&|<>]"), n),
-        "capitals": ratio(count(r"\p{Lu}"), count(r"\p{L}")),
-        "marks": ratio(count("!"), n),
-        "variety": ratio(F.size(F.array_distinct(tokens)), F.sqrt(n.cast("double")) * 4),
-        "word_length": ratio(F.length(body) - n, n),
-        "lines": ratio(F.size(F.array_distinct(lines)), F.size(lines)),
-        "sentence": ratio(n, count(r"[.!?](?:\s|$)")),
-    }
+
+    def of_words(tokens: Column) -> Column:
+        again = F.zip_with(tokens, F.slice(tokens, 2, F.greatest(F.size(tokens), F.lit(0))), lambda a, b: a == b)
+        return F.struct(
+            F.size(tokens).alias("n"),
+            F.length(F.array_join(tokens, "")).alias("chars"),
+            F.size(F.array_distinct(tokens)).alias("different"),
+            F.size(F.filter(again, lambda x: x)).alias("again"),
+        )
+
+    def ratios(w: Column) -> Column:
+        n = w["n"]
+        out = {
+            "symbols": count(r"[#*$%&|<>]") / (n + 5),
+            "capitals": count(r"\p{Lu}") / (count(r"\p{L}") + 20),
+            "marks": count("!") / (n + 5),
+            "variety": (w["different"] + 5) / (n + 5),
+            "repeats": w["again"] / (n + 5),
+            "word_length": (w["chars"] + 25) / (n + 5),
+            "lines": (F.size(F.array_distinct(lines)) + 2) / (F.size(lines) + 2),
+            "sentence": (n + 10) / (count(r"[.!?](?:\s|$)") + 1),
+        }
+        return F.struct(*[v.cast("double").alias(k) for k, v in out.items()])
+
+    return bind(bind(words(body), of_words), ratios)
 
 
 def _bin(value: Column, ends: tuple[float, ...]) -> Column:
@@ -85,8 +99,8 @@ class Model:
 
 def binned(docs: DataFrame, keep: dict[str, Column], text: Column) -> DataFrame:
     """The ``keep`` columns and one bin per feature."""
-    raw = docs.select(*[c.alias(k) for k, c in keep.items()], *[v.alias(f"f_{k}") for k, v in features(text).items()])
-    return raw.select(*keep, *[_bin(F.col(f"f_{k}"), ends).alias(f"b_{k}") for k, ends in BINS.items()])
+    raw = docs.select(*[c.alias(k) for k, c in keep.items()], features(text).alias("_features"))
+    return raw.select(*keep, *[_bin(F.col("_features")[k], ends).alias(f"b_{k}") for k, ends in BINS.items()])
 
 
 def _bins() -> dict[str, Column]:
