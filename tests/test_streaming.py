@@ -14,7 +14,7 @@ from twinproof.sources.logs import LAG_SCHEMA, read_lag_samples
 from twinproof.streaming.apply import apply_stream
 from twinproof.streaming.cutover import NotConverged, cutover, drain_and_stop, run_for
 from twinproof.streaming.lag_monitor import lag_monitor, progress_events, read_states
-from twinproof.streaming.target import KeyedTable
+from twinproof.streaming.target import KeyedTable, LostBatch, TargetMismatch
 
 
 def make_records(n, seed=1):
@@ -65,11 +65,11 @@ def test_new_checkpoint_and_replayed_batches_change_nothing(spark, tmp_path):
         put(spark, tmp_path, piece)
     apply_stream(stream(spark, tmp_path), target, f"{tmp_path}/cp1", cut_lsn=99).awaitTermination()
     target.compact(spark)
-    apply_stream(stream(spark, tmp_path), target, f"{tmp_path}/cp2", cut_lsn=99, run=1).awaitTermination()
+    apply_stream(stream(spark, tmp_path), target, f"{tmp_path}/cp2", cut_lsn=99).awaitTermination()
     assert rows(target.read(spark)) == replay(START, records)
     delta = c.changes_as_delta(log(spark, records[:15]), ["id"], ["id", "name", "qty"])
     target.put_batch(delta, 0)
-    target.put_batch(delta, 0, run=1)
+    target.put_batch(delta, 0, run="other")
     assert rows(target.read(spark)) == replay(START, records)
 
 
@@ -80,7 +80,7 @@ def test_failed_batch_is_taken_up_again(spark, tmp_path):
     put(spark, tmp_path, records[15:])
     whole, calls = target.put_batch, []
 
-    def failing(delta, batch_id, run=0):
+    def failing(delta, batch_id, run=""):
         whole(delta, batch_id, run)
         calls.append(batch_id)
         if batch_id == 1 and calls.count(1) == 1:
@@ -116,6 +116,102 @@ def test_compaction_touches_changed_buckets_only(spark, tmp_path):
         KeyedTable("x", ["id"], target.schema, buckets=0)
 
 
+def test_batches_of_every_run_outlive_compaction(spark, tmp_path):
+    records = make_records(60, 7)
+    target, cp = start(spark, tmp_path), f"{tmp_path}/cp"
+    for i, checkpoint in enumerate([cp + "1", cp + "2", cp + "1", cp + "2"]):  # two feeds in turn, folded after each
+        put(spark, f"{tmp_path}/{checkpoint[-1]}", records[i * 15 : i * 15 + 15])
+        apply_stream(stream(spark, f"{tmp_path}/{checkpoint[-1]}"), target, checkpoint, cut_lsn=99).awaitTermination()
+        target.compact(spark)
+        assert rows(target.read(spark)) == replay(START, records[: i * 15 + 15])
+
+
+def test_a_batch_that_would_be_lost_is_refused(spark, tmp_path):
+    target = start(spark, tmp_path)
+    one = c.changes_as_delta(log(spark, [(200, 0, "U", "3", 7)]), ["id"], ["id", "name", "qty"])
+    target.put_batch(one, 5)
+    target.compact(spark)
+    target.put_batch(one, 5)  # again, as after a lost commit of the checkpoint
+    with pytest.raises(LostBatch):
+        target.put_batch(c.changes_as_delta(log(spark, [(201, 0, "U", "3", 8)]), ["id"], ["id", "name", "qty"]), 4)
+    assert rows(target.read(spark)) == replay(START, [(200, 0, "U", "3", 7)])
+
+
+def test_table_checkpoint_and_cut_belong_together(spark, tmp_path):
+    target = start(spark, tmp_path)
+    put(spark, tmp_path, make_records(6))
+    apply_stream(stream(spark, tmp_path), target, f"{tmp_path}/cp", cut_lsn=99).awaitTermination()
+    with pytest.raises(TargetMismatch):
+        target.create(table(spark, START), c.cut_position(log(spark, []), 99))
+    target.create(table(spark, START), c.cut_position(log(spark, []), 99), replace=True)
+    with pytest.raises(TargetMismatch):
+        apply_stream(stream(spark, tmp_path), target, f"{tmp_path}/cp", cut_lsn=99)
+    with pytest.raises(TargetMismatch):
+        copy_online(table(spark, START), stream(spark, tmp_path), target, f"{tmp_path}/cp3", cut_lsn=98, source_now=lambda: None, cols=["id"])
+
+
+class Killed(RuntimeError):
+    pass
+
+
+@pytest.mark.parametrize("step", ["_write_base", "_commit", "bind", "put_batch", "compact"])
+@pytest.mark.parametrize("after", [False, True])
+def test_online_copy_killed_anywhere_goes_on(spark, tmp_path, step, after):
+    records = make_records(40, 8)
+    for i in range(0, 20, 10):
+        put(spark, tmp_path, records[i : i + 10])
+    snapshot = table(spark, START)
+    seen = {"n": 20}
+
+    def run(target):
+        now = lambda: c.apply_changes(snapshot, log(spark, records[: seen["n"]]), ["id"])
+        return copy_online(
+            snapshot, stream(spark, tmp_path), target, f"{tmp_path}/cp", cut_lsn=99, source_at=lambda _: now(), cols=snapshot.columns, fold_every=2
+        )
+
+    fresh = lambda: KeyedTable(f"{tmp_path}/target", ["id"], snapshot.schema, 4)
+    hurt = fresh()
+    whole = getattr(hurt, step)
+
+    def killed(*args, **kwargs):
+        if after:
+            whole(*args, **kwargs)
+        raise Killed(step)
+
+    setattr(hurt, step, killed)
+    with pytest.raises(Exception, match=step):
+        run(hurt)
+    assert run(fresh()).converged
+    assert rows(fresh().read(spark)) == replay(START, records[:20])
+    fresh().compact(spark)
+    put(spark, tmp_path, records[20:])
+    seen["n"] = 40
+    assert run(fresh()).converged
+    assert rows(fresh().read(spark)) == replay(START, records)
+
+
+def test_online_copy_ends_while_changes_keep_arriving(spark, tmp_path):
+    records = sorted(make_records(60, 10))
+    put(spark, tmp_path, records[:21])  # whole commits: three changes have one position
+    snapshot, position = table(spark, START), []
+    target = KeyedTable(f"{tmp_path}/target", ["id"], snapshot.schema, 4)
+    whole, later = target.put_batch, iter([records[21:42], records[42:]])
+
+    def arriving(delta, batch_id, run=""):
+        whole(delta, batch_id, run)
+        if (more := next(later, None)) is not None:
+            put(spark, tmp_path, more)
+
+    target.put_batch = arriving
+
+    def source_at(lsn):
+        position.append(lsn)
+        return c.apply_changes(snapshot, log(spark, [r for r in records if r[0] <= lsn]), ["id"])
+
+    result = copy_online(snapshot, stream(spark, tmp_path), target, f"{tmp_path}/cp", cut_lsn=99, source_at=source_at, cols=snapshot.columns)
+    assert result.converged and position[0] < records[-1][0]
+
+
 def test_online_copy_and_cutover(spark, tmp_path):
     records = make_records(30, 5)
     put(spark, tmp_path, records[:10])
@@ -183,3 +279,37 @@ def test_change_schema_matches(spark):
     one = log(spark, [])
     made = change_schema(one.schema["key"].dataType, one.schema["after"].dataType)
     assert [(f.name, f.dataType) for f in made] == [(f.name, f.dataType) for f in one.schema]
+
+
+def test_one_stream_into_many_tables(spark, tmp_path):
+    from twinproof.streaming.apply_tables import RECORD, Reports, UnfitImage, apply_tables
+
+    schema = table(spark, START).schema
+    names = [("app", "a"), ("app", "b")]
+    targets = {n: KeyedTable(f"{tmp_path}/{n[1]}", ["id"], schema, 2) for n in names}
+    for t in targets.values():
+        t.create(table(spark, START), 99 - (1 << 63))
+
+    def send(*changes):
+        rows = [(lsn, 0, "app", name, op, image) for lsn, name, op, image in changes]
+        spark.createDataFrame(rows, RECORD.replace("decimal(20,0)", "long")).withColumn("lsn", F.col("lsn").cast("decimal(20,0)")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def run():
+        stream = spark.readStream.schema(RECORD).parquet(f"{tmp_path}/in")
+        apply_tables(stream, targets, f"{tmp_path}/cp", f"{tmp_path}/work", cut_lsn=99).awaitTermination()
+
+    row = '{"id": "%s", "name": %s, "qty": "%s"}'
+    send((100, "a", "I", row % ("n", '"x"', 1)), (101, "b", "U", row % ("3", "null", 2)), (102, "a", "D", '{"id": "3"}'), (103, "zzz", "I", "{}"), (50, "a", "I", "bad, but before the cut"))
+    run()
+    was = {r["id"]: (r["name"], r["qty"]) for r in table(spark, START).collect()}
+    got = {n[1]: {r["id"]: (r["name"], r["qty"]) for r in t.read(spark).collect()} for n, t in targets.items()}
+    assert got["a"] == {k: v for k, v in was.items() if k != "3"} | {"n": ("x", "1")}
+    assert got["b"] == was | {"3": (None, "2")}
+    reports = Reports(f"{tmp_path}/work")
+    assert [(r["table_name"], r["changes"]) for r in reports.unknown(spark).collect()] == [("zzz", 1)]
+    assert reports.conflicts(spark).agg(F.sum("inserts")).first()[0] == 0
+    send((110, "b", "I", '{"id": "5", "name": "no qty"}'))
+    with pytest.raises(Exception, match="does not fit"):
+        run()
+    assert got["b"] == {r["id"]: (r["name"], r["qty"]) for r in targets["app", "b"].read(spark).collect()}
+    assert UnfitImage.__doc__

@@ -64,3 +64,8 @@ def lsn_literal(lsn: int, data_type: T.DataType) -> Column:
 def sortable_literal(lsn: int, data_type: T.DataType) -> int:
     """``sortable_position`` of a number known on the driver."""
     return lsn - _SIGN if isinstance(data_type, T.DecimalType) else lsn
+
+
+def lsn_of_sortable(position: int, data_type: T.DataType) -> int:
+    """The number that ``sortable_literal`` made this position of."""
+    return position + _SIGN if isinstance(data_type, T.DecimalType) else position

@@ -1,4 +1,4 @@
-"""Snapshot copy plus change apply: the whole run for one table."""
+"""Snapshot copy plus change apply: the whole run for one table, and for a set of them."""
 
 from __future__ import annotations
 
@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from twinproof.functions.lsn import lsn_of_sortable
 from twinproof.operators.changes import cut_position
+from twinproof.operators.content import is_converged
+from twinproof.operators.marks import sync_marks
 from twinproof.operators.scope import Scope
 from twinproof.streaming.apply import apply_stream
-from twinproof.streaming.cutover import Cutover, cutover
-from twinproof.streaming.target import KeyedTable
+from twinproof.streaming.cutover import Cutover, NotConverged
+from twinproof.streaming.target import KeyedTable, TargetMismatch
 
 
 def copy_online(
@@ -20,26 +23,41 @@ def copy_online(
     checkpoint: str,
     *,
     cut_lsn: int,
-    source_now: Callable[[], DataFrame],
+    source_now: Callable[[], DataFrame] | None = None,
+    source_at: Callable[[int], DataFrame] | None = None,
     cols: list[str],
     scope: Scope | None = None,
     source_marks: DataFrame | None = None,
     target_marks: DataFrame | None = None,
-    seconds_between: int = 1,
+    fold_every: int = 0,
 ) -> Cutover:
-    """Load the snapshot at ``cut_lsn``, apply all later changes, prove equality, cut over.
+    """Load the snapshot at ``cut_lsn``, apply the changes there are, prove equality, cut over.
 
-    The position is fixed before anything is read: rows up to it come from the snapshot, rows past
-    it from the stream, so there is neither a gap nor a double.
+    The cut is fixed before anything is read: rows up to it come from the snapshot, rows past
+    it from the stream, so there is neither a gap nor a double. Run again after it broke off anywhere, it
+    goes on: a table with a commit is never created anew, and its checkpoint carries on. A table of another cut, or
+    a checkpoint of another table, is refused.
+
+    The stream ends by itself once it has taken what was there when it began, however much keeps arriving.
+    The copy then stands at the last position it took. ``source_at(position)`` is the source as of that position;
+    ``source_now`` may be given instead when the source is at rest. Marks are moved last.
     """
-    table.create(snapshot, cut_position(changes, cut_lsn))
-    query = apply_stream(
-        changes, table, checkpoint, cut_lsn=cut_lsn, scope=scope, trigger={"processingTime": f"{seconds_between} seconds"}
-    )
+    spark, cut = snapshot.sparkSession, cut_position(changes, cut_lsn)
+    have = table.identity(spark)
+    if have is None:
+        table.create(snapshot, cut)
+    elif have[1] != cut:
+        raise TargetMismatch(f"{table.path} was created at another cut than {cut_lsn}")
+    query = apply_stream(changes, table, checkpoint, cut_lsn=cut_lsn, scope=scope, fold_every=fold_every)
     try:
-        query.processAllAvailable()
-        spark = snapshot.sparkSession
-        return cutover(query, source_now(), lambda: table.read(spark), table.keys, cols, source_marks, target_marks)
-    except BaseException:
+        query.awaitTermination()
+    finally:
         query.stop()
-        raise
+    last = table.last_position(spark)
+    position = lsn_of_sortable(last[0] if last else cut, changes.schema["lsn"].dataType)
+    source = source_at(position) if source_at else source_now()
+    gate = is_converged(source, table.read(spark), table.keys, cols).first()
+    if not gate["converged"]:
+        raise NotConverged(f"source {gate['source_digest']}, target {gate['target_digest']} at {position}")
+    marks = sync_marks(source_marks, target_marks) if source_marks is not None and target_marks is not None else None
+    return Cutover(gate["source_digest"], gate["target_digest"], True, marks)

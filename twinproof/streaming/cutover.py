@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -23,11 +24,27 @@ class Cutover:
     marks: DataFrame | None
 
 
+def wait_until_idle(query: StreamingQuery, seconds: float = 600) -> None:
+    """Wait until the stream has nothing to do, for at most ``seconds``. For sources that are at rest."""
+    deadline = time.monotonic() + seconds
+    idle = 0
+    while query.isActive and idle < 2:
+        if time.monotonic() > deadline:
+            raise TimeoutError(f"changes still arrive after {seconds} s: stop at a position instead")
+        status = query.status
+        # a trigger that found no data, seen twice, with at least one trigger behind it
+        busy = status["isDataAvailable"] or status["isTriggerActive"] or query.lastProgress is None
+        idle = 0 if busy else idle + 1
+        time.sleep(0.2)
+    if error := query.exception():
+        raise error
+
+
 def drain_and_stop(query: StreamingQuery, wait: bool = True) -> None:
     """Take in all data there is, then stop. Calling it again does nothing."""
     if query.isActive:
         if wait:
-            query.processAllAvailable()
+            wait_until_idle(query)
         query.stop()
 
 
@@ -55,7 +72,7 @@ def cutover(
     checked before the stop; when strict, a copy that differs keeps its stream.
     """
     if query.isActive:
-        query.processAllAvailable()
+        wait_until_idle(query)
     gate = is_converged(source, target(), keys, cols).first()
     if strict and not gate["converged"]:
         raise NotConverged(f"source {gate['source_digest']}, target {gate['target_digest']}")

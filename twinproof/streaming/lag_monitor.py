@@ -46,9 +46,11 @@ def lag_monitor(
     def step(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         prior = _prior(session, path, batch_id)
-        found = lag_states(batch, threshold, prior, every, chunk).withColumn("_batch", F.lit(batch_id).cast("bigint"))
-        found.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(states)
-        done = session.read.schema(found.schema).parquet(states).filter(F.col("_batch") == batch_id)
+        found = lag_states(batch, threshold, prior, every, chunk)
+        # the batch's own folder: earlier batches are neither listed nor opened
+        here = f"{states}/_batch={batch_id}"
+        found.write.mode("overwrite").parquet(here)
+        done = session.read.schema(found.schema).parquet(here)
         after = F.struct("caught_up", F.col("confirmed_lsn").cast("decimal(20,0)").alias("confirmed_lsn"), "stale_run")
         last = done.groupBy("slot").agg(F.max("sample_no").alias("sample_no"), F.max_by(after, "sample_no").alias("s"))
         moved = last.select("slot", "sample_no", "s.*")
@@ -72,6 +74,7 @@ def read_states(spark: SparkSession, path: str) -> DataFrame:
 def progress_events(states: DataFrame, engine: str = "spark") -> DataFrame:
     """``slot, sample_no, seq, stage, message, detail``: one heartbeat per sample, and an event after it
     when the slot caught up or fell behind."""
+    # The words of the heartbeat message, which ``heartbeat_fields`` reads, and the keys of its detail.
     lag, source, applied = F.col("lag"), F.col("source_lsn"), F.col("confirmed_lsn")
     n = {name: c.cast("string") for name, c in (("lag", lag), ("source", source), ("applied", applied))}
     source_text, applied_text = format_lsn(source), format_lsn(applied)

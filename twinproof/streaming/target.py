@@ -3,31 +3,44 @@
 Parquet has no row-level merge, and writing a whole table again for every micro-batch does not
 scale. So a batch only adds its own last images, and readers merge them by position:
 
-- ``base/_gen=G/_bucket=B``   rows by key bucket, as written by create or compact
-- ``delta/_batch=N``          last images of micro-batch N, put in place by one partition overwrite
-- ``commits``                 one row per generation: the buckets it holds and the last batch folded in
+- ``base/_gen=G/_bucket=B``       rows by key bucket, as written by create or compact
+- ``delta/_run=R/_batch=N``       last images of micro-batch N of run R, put in place by one partition overwrite
+- ``commits``                     one row per generation: table id, cut, the buckets it holds, and per run the last batch folded in
 
+A run is one checkpoint. ``bind`` writes table id and run beside the checkpoint's own files, so a new checkpoint is
+a new run, and a checkpoint of another table (or of this one before it was created again) is refused.
 Merging by position is idempotent, so a batch that is written twice, or is both folded in and still
 present, changes nothing. Compaction writes only buckets that changed.
 """
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinproof.operators.changes import live_rows, merge_by_position, snapshot_as_state
-from twinproof.sinks.files import folders, remove
+from twinproof.operators.changes import POSITION, live_rows, merge_by_position, snapshot_as_state
+from twinproof.sinks.files import exists, folders, remove
 
 _STATE = [("_deleted", T.BooleanType()), ("_pos", T.LongType()), ("_seq", T.IntegerType())]
-_COMMIT_SCHEMA = "gen bigint, through bigint, buckets array<int>"
-_RUN = 1 << 40  # batch ids of one checkpoint stay below this
+_PART = [("_run", T.StringType()), ("_batch", T.LongType())]
+_COMMIT_SCHEMA = "gen bigint, table_id string, cut bigint, through map<string, bigint>, buckets array<int>"
+_BOUND_SCHEMA = "table_id string, run string"
 MAX_BUCKETS = 1 << 16
 
 
+class TargetMismatch(RuntimeError):
+    """Table, checkpoint and cut do not belong together."""
+
+
+class LostBatch(RuntimeError):
+    """A batch at or below the folded ones of its run carries changes that the table does not have."""
+
+
 @dataclass
 class KeyedTable:
     """``keys`` identify a row, ``schema`` is the row without state columns.
@@ -62,35 +75,73 @@ class KeyedTable:
             f"{self.path}/base/_gen={gen}"
         )
 
-    def _commit(self, spark: SparkSession, gen: int, through: int, buckets: list[int]) -> None:
-        spark.createDataFrame([(gen, through, buckets)], _COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(
+    def _commit(self, spark: SparkSession, gen: int, identity: tuple[str, int], through: dict[str, int], buckets: list[int]) -> None:
+        spark.createDataFrame([(gen, *identity, through, buckets)], _COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(
             f"{self.path}/commits"
         )
 
-    def create(self, snapshot: DataFrame, cut_position: int) -> None:
-        """Start from a snapshot taken at ``cut_position``; replaces whatever the path holds."""
+    def _commits(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(_COMMIT_SCHEMA).parquet(f"{self.path}/commits")
+
+    def identity(self, spark: SparkSession) -> tuple[str, int] | None:
+        """``(table id, cut position)``; None while no create has come to its end here."""
+        if not exists(spark, f"{self.path}/commits"):
+            return None
+        row = self._commits(spark).select("table_id", "cut").first()
+        return tuple(row) if row else None
+
+    def create(self, snapshot: DataFrame, cut_position: int, replace: bool = False) -> None:
+        """Start from a snapshot taken at ``cut_position``. A table that is in use is only replaced when told to.
+
+        The commit comes last: a create that breaks off leaves no table, and the next one starts over.
+        """
         spark = snapshot.sparkSession
+        if not replace and self.identity(spark):
+            raise TargetMismatch(f"{self.path} holds a table already")
         spark.createDataFrame([], _COMMIT_SCHEMA).write.mode("overwrite").parquet(f"{self.path}/commits")
         spark.createDataFrame([], self._schema()).write.mode("overwrite").parquet(f"{self.path}/delta")
         self._write_base(snapshot_as_state(snapshot.select(*self.columns), cut_position), 0)
-        self._commit(spark, 0, -1, list(range(self.buckets)))
-
-    def put_batch(self, delta: DataFrame, batch_id: int, run: int = 0) -> None:
-        """Add one micro-batch. Writing the same batch again puts it in place of itself.
-
-        ``run`` tells checkpoints apart: raise it when the stream starts over with a new one.
+        self._commit(spark, 0, (uuid.uuid4().hex, cut_position), {}, list(range(self.buckets)))
+
+    def bind(self, spark: SparkSession, checkpoint: str) -> str:
+        """The run of a checkpoint of this table; a checkpoint seen for the first time begins one."""
+        identity = self.identity(spark)
+        if identity is None:
+            raise TargetMismatch(f"{self.path} holds no table")
+        bound = f"{checkpoint}/bound"
+        if not exists(spark, f"{bound}/_SUCCESS"):
+            if exists(spark, f"{checkpoint}/commits"):
+                raise TargetMismatch(f"{checkpoint} has batches of a stream that was not bound to a table")
+            row = [(identity[0], uuid.uuid4().hex)]
+            spark.createDataFrame(row, _BOUND_SCHEMA).coalesce(1).write.mode("overwrite").parquet(bound)
+        table_id, run = spark.read.schema(_BOUND_SCHEMA).parquet(bound).first()
+        if table_id != identity[0]:
+            raise TargetMismatch(f"{checkpoint} belongs to another table than {self.path}")
+        return run
+
+    def put_batch(self, delta: DataFrame, batch_id: int, run: str = "") -> None:
+        """Add one micro-batch of a run. Writing the same batch again puts it in place of itself.
+
+        A batch that was folded in already may only come again with what the table has: anything newer raises.
         """
-        delta.withColumn("_batch", F.lit(run * _RUN + batch_id).cast("bigint")).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("_batch").parquet(f"{self.path}/delta")
-
-    def _current(self, spark: SparkSession) -> tuple[dict[int, list[int]], int, int]:
-        """Buckets by generation, the last folded batch, the last generation."""
-        commits = spark.read.schema(_COMMIT_SCHEMA).parquet(f"{self.path}/commits")
+        spark = delta.sparkSession
+        if batch_id <= self._current(spark)[1].get(run, -1):
+            state = self.state(spark).select(*self.keys, *[F.col(c).alias(f"_has{c}") for c in POSITION])
+            later = F.struct(*POSITION) > F.struct(*[f"_has{c}" for c in POSITION])
+            if not delta.join(state, self.keys, "left").where(F.col("_has_pos").isNull() | later).isEmpty():
+                raise LostBatch(f"batch {batch_id} of run {run!r} is at or below the folded ones and brings new changes")
+            return
+        rows = delta.withColumn("_run", F.lit(run or "none")).withColumn("_batch", F.lit(batch_id).cast("bigint"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_run", "_batch").parquet(f"{self.path}/delta")
+
+    def _current(self, spark: SparkSession) -> tuple[dict[int, list[int]], dict[str, int], int]:
+        """Buckets by generation, the last folded batch of each run, the last generation."""
+        commits = self._commits(spark)
         newest = commits.select("gen", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.max("gen").alias("gen"))
         by_gen = newest.groupBy("gen").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
-        through = commits.agg(F.max("through"), F.max("gen")).first()
-        return {r["gen"]: r["buckets"] for r in by_gen.collect()}, through[0], through[1]
+        last = commits.agg(F.max("gen"), F.max_by("through", "gen")).first()
+        through = {"" if run == "none" else run: batch for run, batch in (last[1] or {}).items()}
+        return {r["gen"]: r["buckets"] for r in by_gen.collect()}, through, last[0]
 
     def _base(self, spark: SparkSession, by_gen: dict[int, list[int]], only: list[int] | None = None) -> DataFrame:
         # literal partition filters, so the scan lists and opens the live files only
@@ -105,14 +156,17 @@ class KeyedTable:
                 wanted = wanted | ((F.col("_gen") == gen) & F.col("_bucket").isin(kept))
         return base.filter(wanted).drop("_gen", "_bucket")
 
-    def _delta(self, spark: SparkSession, through: int) -> DataFrame:
-        delta = spark.read.schema(self._schema(("_batch", T.LongType()))).parquet(f"{self.path}/delta")
-        return delta.filter(F.col("_batch") > through)
+    def _delta(self, spark: SparkSession, through: dict[str, int]) -> DataFrame:
+        delta = spark.read.schema(self._schema(*_PART)).parquet(f"{self.path}/delta")
+        open_ = F.lit(True)
+        for run, batch in through.items():  # one entry per checkpoint there ever was
+            open_ = open_ & ~((F.col("_run") == (run or "none")) & (F.col("_batch") <= batch))
+        return delta.filter(open_)
 
     def state(self, spark: SparkSession) -> DataFrame:
         """Newest version of every row, deleted ones included, with positions."""
         by_gen, through, _ = self._current(spark)
-        return merge_by_position(self._base(spark, by_gen), self._delta(spark, through).drop("_batch"), self.keys)
+        return merge_by_position(self._base(spark, by_gen), self._delta(spark, through).drop("_run", "_batch"), self.keys)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Rows as of the last batch."""
@@ -125,30 +179,47 @@ class KeyedTable:
         """
         by_gen, through, gen = self._current(spark)
         delta = self._delta(spark, through)
-        last = delta.agg(F.max("_batch")).first()[0]
-        if last is None:
+        folded = {r["_run"]: r["last"] for r in delta.groupBy("_run").agg(F.max("_batch").alias("last")).collect()}
+        if not folded:
             return []
-        delta = delta.filter(F.col("_batch") <= last).drop("_batch")
+        # batches that come meanwhile stay for the next time
+        upto = F.lit(False)
+        for run, batch in folded.items():
+            upto = upto | ((F.col("_run") == run) & (F.col("_batch") <= batch))
+        delta = delta.filter(upto).drop("_run", "_batch")
         # distinct bucket numbers, at most `self.buckets`
         touched = sorted(r["_bucket"] for r in self._bucketed(delta).select("_bucket").distinct().collect())
         merged = merge_by_position(self._base(spark, by_gen, touched), delta, self.keys)
         if safe_position is not None:
             merged = merged.filter(~F.col("_deleted") | (F.col("_pos") >= safe_position))
         self._write_base(merged, gen + 1)
-        self._commit(spark, gen + 1, last, touched)
+        self._commit(spark, gen + 1, self.identity(spark), {run or "none": b for run, b in through.items()} | folded, touched)
         return touched
 
+    def last_position(self, spark: SparkSession) -> tuple[int, int] | None:
+        """``(_pos, _seq)`` of the latest change that is in, None before the first."""
+        by_gen, through, _ = self._current(spark)
+        cut = self.identity(spark)[1]
+        both = self._base(spark, by_gen).select(*POSITION).unionByName(self._delta(spark, through).select(*POSITION))
+        row = both.filter(F.col("_pos") > cut).agg(F.max(F.struct(*POSITION)).alias("p")).first()
+        return tuple(row["p"]) if row["p"] else None
+
     def drop_superseded(self, spark: SparkSession) -> list[str]:
-        """Delete files no reader of the current state opens: old bucket versions and folded batches."""
+        """Delete files no reader of the current state opens: old bucket versions and folded batches.
+
+        A reader that began before the last compaction may still have them open: call this once such readers are done.
+        """
         by_gen, through, _ = self._current(spark)
         live = {f"_gen={g}/_bucket={b}" for g, buckets in by_gen.items() for b in buckets}
         old = []
         for gen in folders(spark, f"{self.path}/base"):
             parts = [f"{gen}/{b}" for b in folders(spark, f"{self.path}/base/{gen}")]
             old += [f"{self.path}/base/{p}" for p in parts if p not in live]
-        for batch in folders(spark, f"{self.path}/delta"):
-            if batch.startswith("_batch=") and int(batch.split("=")[1]) <= through:
-                old.append(f"{self.path}/delta/{batch}")
-        for path in old:
-            remove(spark, path)
+        for run in folders(spark, f"{self.path}/delta"):
+            if run.startswith("_run="):
+                name = run.split("=")[1]
+                folded = through.get("" if name == "none" else name, -1)
+                old += [f"{self.path}/delta/{run}/{b}" for b in folders(spark, f"{self.path}/delta/{run}") if int(b.split("=")[1]) <= folded]
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda path: remove(spark, path), old))
         return old
