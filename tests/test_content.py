@@ -44,16 +44,29 @@ def test_digest_tells_nulls_separators_and_doubles_apart(spark, portable):
     assert len(set(digests)) == len(variants)
 
 
-def test_ordered_hash(spark):
+def folded_md5(rows, chunk, levels):
+    """The definition in plain Python; ``rows`` are (key, text)."""
+    level = {k: hashlib.md5(t.encode()).hexdigest() for k, t in rows}
+    for _ in range(levels):
+        groups = {}
+        for k in sorted(level):
+            groups.setdefault(k // chunk, []).append(level[k])
+        level = {g: hashlib.md5(",".join(h).encode()).hexdigest() for g, h in groups.items()}
+    return hashlib.md5(",".join(level[k] for k in sorted(level)).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("chunk, levels", [(8, 22), (1 << 16, 4)])
+def test_ordered_hash(spark, chunk, levels):
     base = widgets(spark)
     text = F.concat_ws("|", *COLS)
-    assert tuple(ordered_hash(base, "id", text).first()) == (500, ordered_md5(base))
-    split = ordered_hash(base.repartition(5), "id", text, chunk=8).first()["digest"]  # three levels
-    assert split == ordered_hash(base, "id", text, chunk=8).first()["digest"] != ordered_md5(base)
-    assert split != ordered_hash(widgets(spark, {"42": ("42", "x", "84")}), "id", text, chunk=8).first()["digest"]
-    assert tuple(ordered_hash(base.limit(0), "id", text).first()) == (0, None)
+    want = folded_md5([(int(r["id"]), "|".join(r)) for r in base.collect()], chunk, levels)
+    assert tuple(ordered_hash(base.repartition(5), "id", text, chunk=chunk).first()) == (500, want)
+    two = base.filter("id IN ('3', '400')")
+    assert ordered_hash(two, "id", text, chunk=chunk).first()["digest"] == folded_md5([(3, "3|widget-3|6"), (400, "400|widget-400|800")], chunk, levels)
+    assert want != ordered_hash(widgets(spark, {"42": ("42", "x", "84")}), "id", text, chunk=chunk).first()["digest"]
+    assert tuple(ordered_hash(base.limit(0), "id", text, chunk=chunk).first()) == (0, None)
     with pytest.raises(ValueError, match="unique"):
-        ordered_hash(spark.range(9).select(F.lit(1).alias("id")), "id", chunk=8)
+        ordered_hash(spark.range(chunk + 1).select(F.lit(1).alias("id")), "id", chunk=chunk)
 
 
 def test_empty_is_never_converged(spark):

@@ -5,12 +5,14 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from twinproof.operators import maintain, quality
+from twinproof.operators.content import content_hash
+from twinproof.operators.logs import stage_timeline
 from twinproof.operators.scope import Scope
 from twinproof.plans import copy as copying
 from twinproof.plans.offline import copy_offline
 from twinproof.sinks.archive import load_table, parse_compression, write_archive
 from twinproof.sources import generate, snapshot
-from twinproof.sources.logs import read_progress, read_restore_log
+from twinproof.sources.logs import read_bad_progress, read_progress, read_restore_log
 
 
 @pytest.mark.parametrize(
@@ -67,6 +69,40 @@ def test_copy_and_resume(spark, tmp_path):
         copying.copy_tables(spark, source, "elsewhere", target, resume=True)
 
 
+@pytest.mark.parametrize("what", ["all", "data-only"])
+@pytest.mark.parametrize("jobs", [1, 3])
+def test_resume_after_a_table_failed_part_way(spark, tmp_path, what, jobs):
+    target = str(tmp_path / "out")
+    source = {("app", n): spark.range(1000, numPartitions=4).withColumn("v", F.lit(n)) for n in "abc"}
+    broken = dict(source)
+    late = F.when(F.col("id") > 900, F.raise_error(F.lit("lost"))).otherwise(F.col("v"))
+    broken["app", "b"] = source["app", "b"].withColumn("v", late.cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        copying.copy_tables(spark, broken, "src", target, Scope(what=what), jobs=jobs)
+    assert {r["table_name"] for r in copying.read_manifest(spark, target).collect()} == {"a", "c"}
+    for _ in range(2):
+        manifest = copying.copy_tables(spark, source, "src", target, Scope(what=what), jobs=jobs, resume=True)
+    assert rows(manifest.select("table_name", "rows")) == [("a", 1000), ("b", 1000), ("c", 1000)]
+    for name, df in copying.copied_tables(spark, target, list(source)).items():
+        digest = lambda x: content_hash(x, ["id"], ["id", "v"]).first()
+        assert digest(df) == digest(source[name])
+
+
+def test_added_rows_moved_but_not_noted_are_not_doubled(spark, tmp_path):
+    target, source = str(tmp_path / "out"), {("app", "a"): spark.range(10)}
+    source["app", "a"].write.parquet(copying.table_path(target, "app", "a"))
+    for _ in range(2):  # the second as if the note of the first was lost
+        copying.copy_tables(spark, source, "s", target, Scope(what="data-only"))
+    assert spark.read.parquet(copying.table_path(target, "app", "a")).count() == 20
+
+
+def test_resume_at_another_cut_is_refused(spark, tmp_path):
+    source = {("app", "a"): spark.range(10).withColumnRenamed("id", "lsn")}
+    copying.copy_tables(spark, source, "s", str(tmp_path), cut_lsn=3)
+    with pytest.raises(copying.ResumeRefused):
+        copying.copy_tables(spark, source, "s", str(tmp_path), cut_lsn=7, resume=True)
+
+
 def test_offline_copy_is_verified(spark, tmp_path):
     manifest, report = copy_offline(spark, tables(spark), "s", str(tmp_path / "a"), Scope(schemas=["app"]), mode="strict")
     assert manifest.count() == 2 and rows(report) == [("app", "a", 10, 10), ("app", "b", 0, 0)]
@@ -116,7 +152,12 @@ def test_clustering_splits_a_key_that_repeats(spark):
 
 def test_snapshot_cut(spark):
     log = spark.createDataFrame([(1, "a"), (5, "b"), (6, "c")], "lsn bigint, v string")
-    got = snapshot.read_snapshot({("s", "log"): log, ("s", "plain"): spark.range(2)}, Scope(schemas=["s"]), cut_lsn=5)
+    both = {("s", "log"): log, ("s", "plain"): spark.range(2)}
+    with pytest.raises(ValueError, match="s.plain"):
+        snapshot.read_snapshot(both, Scope(schemas=["s"]), cut_lsn=5)
+    with pytest.raises(ValueError, match="split column"):
+        snapshot.jdbc_options("jdbc:x", "t", "id")
+    got = snapshot.read_snapshot(both, Scope(schemas=["s"]), cut_lsn=5, immutable=[("s", "plain")])
     assert got["s", "log"].count() == 2 and got["s", "plain"].count() == 2
     assert snapshot.jdbc_options("jdbc:x", "t", "id", 0, 9, 3)["numPartitions"] == "3"
     assert "partitionColumn" not in snapshot.jdbc_options("jdbc:x", "t")
@@ -157,7 +198,10 @@ def test_progress_log(spark, tmp_path):
     (tmp_path / "run.json").write_text("\n".join(map(json.dumps, events)) + "\nnot json\n")
     got = read_progress(spark, str(tmp_path)).orderBy("stage").collect()
     assert [r["stage"] for r in got] == ["Lag", "Validate"]
-    assert int(got[0]["detail"]["source_lsn"]) == 2**64 - 1 and got[0]["run_id"].endswith("run.json") and got[0]["ts"] is not None
+    assert int(got[0]["detail"]["source_lsn"]) == 2**64 - 1 and got[0]["run_id"].endswith("run.json") and got[0]["ts"] is None
+    assert [r["line"] for r in read_bad_progress(spark, str(tmp_path)).collect()] == ["not json"]
+    order = stage_timeline(read_progress(spark, str(tmp_path)).withColumn("run_id", F.lit("r"))).collect()
+    assert [(r["stage"], r["seconds"]) for r in order] == [("Validate", None), ("Lag", None)]
 
 
 def test_analyze_goes_on_after_a_failure(spark, tmp_path):

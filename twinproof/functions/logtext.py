@@ -101,8 +101,8 @@ def split_qualified(name: Column) -> Column:
 
 
 def redact_uri(text: Column) -> Column:
-    """Mask the password of every ``user:password@host`` URI in the text."""
-    return F.regexp_replace(text, r"(://[^:/@\s]*):[^/@\s]+@", "$1:****@")
+    """Mask the password of every ``user:password@host`` URI in the text: all up to the last ``@`` before white space."""
+    return F.regexp_replace(text, r"(://[^:/@\s]*):\S+@", "$1:****@")
 
 
 def heartbeat_fields(line: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 from twinproof.functions.rowhash import LANES, digest_text, hash_column, lanes, row_text
 
 _LANE_NAMES = [f"lane{i}" for i in range(LANES)]
+MAX_BUCKETS = 1 << 16
 
 
 def bucket_of(df: DataFrame, keys: list[str], buckets: int) -> Column:
@@ -62,28 +65,30 @@ def content_hash(
 
 
 def ordered_hash(df: DataFrame, key: str, text: Column | None = None, cols: list[str] | None = None, chunk: int = 1 << 16) -> DataFrame:
-    """One row ``n, digest``: md5 over the row texts joined by commas in the order of an integer key.
+    """One row ``n, digest`` over the rows in the order of an integer key; no rows have a NULL digest.
 
-    Taken in chunks of ``chunk`` keys, whose digests are joined and hashed again, level by level; a
-    table that fits one chunk has the plain md5 of its text. A chunk is put together in one task, so
-    the key must be unique: a chunk with more rows than keys is refused before anything is joined.
-    ``text`` is the row text, by default that of ``cols`` with lengths and NULL marks.
+    A row is the md5 of its text. ``chunk`` neighbouring keys are joined by commas in key order and hashed, then
+    ``chunk`` neighbouring chunks, and so on: always as many times as it takes to bring all 64-bit keys to at most
+    two groups, whose digests are joined and hashed last. The digest means the same at every size, and what one task joins is at
+    most ``chunk`` md5 texts. The key must be unique: a chunk with more rows than keys is refused before
+    anything is joined. ``text`` is the row text, by default that of ``cols`` with lengths and NULL marks.
     """
-    rows = df.select(F.col(key).cast("bigint").alias("_at"), (row_text(df, cols or df.columns) if text is None else text).alias("_text"))
+    if not 2 <= chunk <= 1 << 20:
+        raise ValueError("a chunk has between 2 and 2^20 keys")
+    row = row_text(df, cols or df.columns) if text is None else text
+    rows = df.select(F.col(key).cast("bigint").alias("_at"), F.md5(row).alias("_text"))
     sizes = df.groupBy(F.expr(f"floor(CAST(`{key}` AS BIGINT) / {chunk})").alias("_c")).count()
-    extent = sizes.agg(F.max("count"), F.min("_c"), F.max("_c"), F.sum("count")).first()
-    if extent[0] is not None and extent[0] > chunk:
+    largest, total = sizes.agg(F.max("count"), F.sum("count")).first()
+    if largest is not None and largest > chunk:
         raise ValueError(f"{key} is not unique")
 
-    def fold(level: DataFrame) -> DataFrame:
-        grouped = level.groupBy(F.floor(F.col("_at") / chunk).alias("_at"))
-        return grouped.agg(F.md5(F.expr("listagg(_text, ',') WITHIN GROUP (ORDER BY _at)")).alias("_text"))
+    def joined(level: DataFrame, *by: Column) -> DataFrame:
+        return level.groupBy(*by).agg(F.md5(F.expr("listagg(_text, ',') WITHIN GROUP (ORDER BY _at)")).alias("_text"))
 
-    low, high = extent[1], extent[2]
-    level = fold(rows)
-    while low is not None and low != high:
-        level, low, high = fold(level), low // chunk, high // chunk
-    return level.agg(F.lit(extent[3] or 0).cast("bigint").alias("n"), F.max("_text").alias("digest"))
+    level = rows
+    for _ in range(math.ceil(64 / math.log2(chunk))):
+        level = joined(level, F.floor(F.col("_at") / chunk).alias("_at"))
+    return joined(level).select(F.lit(total or 0).cast("bigint").alias("n"), F.when(F.lit(bool(total)), F.col("_text")).alias("digest"))
 
 
 def differing_buckets(source: DataFrame, target: DataFrame, keys: list[str], cols: list[str], buckets: int, portable: bool) -> DataFrame:
@@ -111,6 +116,8 @@ def locate_drift(
     that differ; the second hashes their rows only. Rows of a key are summed before and after the
     shuffle, never paired, so a key that repeats many times stays cheap.
     """
+    if not 0 < buckets <= MAX_BUCKETS:
+        raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}")
     bad = differing_buckets(source, target, keys, cols, buckets, portable)
 
     def side(df: DataFrame, sign: int) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinproof.operators.scope import Scope
+from twinproof.operators.scope import Scope, keeps
 
 TableMap = Mapping[tuple[str, str], DataFrame]
 MISSING = -1  # never a real count, so a missing table always differs
@@ -18,29 +18,19 @@ VERIFY_MODES = ("off", "warn", "strict")
 
 def in_scope(tables: TableMap, scope: Scope | None) -> dict[tuple[str, str], DataFrame]:
     """The entries a scope keeps. Works on names only, before any plan is built."""
-    if scope is None:
-        return dict(tables)
-    includes = bool(scope.schemas or scope.tables)
-    return {
-        (schema, table): df
-        for (schema, table), df in tables.items()
-        if (not includes or schema in scope.schemas or (schema, table) in scope.tables)
-        and schema not in scope.exclude_schemas
-        and (schema, table) not in scope.exclude_tables
-    }
+    return dict(tables) if scope is None else {name: df for name, df in tables.items() if keeps(scope, *name)}
 
 
 def table_counts(tables: TableMap) -> DataFrame:
     """``schema_name, table_name, n`` for every table in one job; an empty table counts 0."""
     if not tables:
         raise ValueError("no table in scope")
-    counted = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(schema).alias("schema_name"), F.lit(table).alias("table_name"), "n"
-        )
-        for (schema, table), df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, counted)
+    names = list(tables)
+    # one shuffle for all: a task sends one row per table it read, and tables without rows come from the list
+    tagged = reduce(DataFrame.unionByName, [df.select(F.lit(i).alias("_at")) for i, df in enumerate(tables.values())])
+    listed = tagged.sparkSession.createDataFrame([(i, *n) for i, n in enumerate(names)], "_at int, schema_name string, table_name string")
+    counted = tagged.groupBy("_at").agg(F.count(F.lit(1)).alias("n"))
+    return listed.join(counted, "_at", "left").select("schema_name", "table_name", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def compare_counts(source: DataFrame, target: DataFrame) -> DataFrame:

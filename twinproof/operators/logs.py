@@ -83,12 +83,18 @@ def restore_verdict(log: DataFrame) -> DataFrame:
 def stage_timeline(events: DataFrame) -> DataFrame:
     """``run_id, stage, events, started, ended, seconds``: a stage ends where the next one starts.
 
-    Events are reduced to one row per stage first; the window then sees a handful of rows per run.
+    Stages come in the order of their first event: by time, then by ``line_no`` where there is one, then by name.
+    Without times there are no durations. Events are reduced to one row per stage first; the window then sees a
+    handful of rows per run.
     """
+    line = F.col("line_no") if "line_no" in events.columns else F.lit(None).cast("bigint")
     stages = events.groupBy("run_id", "stage").agg(
-        F.count(F.lit(1)).alias("events"), F.min("ts").alias("started"), F.max("ts").alias("_last")
+        F.count(F.lit(1)).alias("events"),
+        F.min("ts").alias("started"),
+        F.max("ts").alias("_last"),
+        F.min(F.struct("ts", line.alias("line_no"))).alias("_first"),
     )
-    order = Window.partitionBy("run_id").orderBy("started", "stage")
+    order = Window.partitionBy("run_id").orderBy("_first", "stage")
     ended = F.coalesce(F.lead("started").over(order), F.col("_last"))
     seconds = F.timestamp_diff("MICROSECOND", F.col("started"), F.col("ended")) / F.lit(1e6)
     return stages.withColumn("ended", ended).select("run_id", "stage", "events", "started", "ended", seconds.alias("seconds"))

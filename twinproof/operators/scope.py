@@ -32,14 +32,26 @@ class Scope:
         for name in ("tables", "exclude_tables"):
             object.__setattr__(self, name, tuple((s, t) for s, t in getattr(self, name)))
 
+    def _rule(self, schema_in, pair_in, every):
+        """``(included, excluded)``, for columns or for plain names: schema list and table list add up, no list at all means everything."""
+        listed = bool(self.schemas or self.tables)
+        included = schema_in(self.schemas) | pair_in(self.tables) if listed else every
+        return included, schema_in(self.exclude_schemas) | pair_in(self.exclude_tables)
+
+    def _columns(self) -> tuple[Column, Column]:
+        return self._rule(lambda names: F.col("schema_name").isin(*names), _pair_in, F.lit(True))
+
     def included(self) -> Column:
-        """Schema list and table list add up; no list at all means everything."""
-        if not self.schemas and not self.tables:
-            return F.lit(True)
-        return F.col("schema_name").isin(*self.schemas) | _pair_in(self.tables)
+        return self._columns()[0]
 
     def excluded(self) -> Column:
-        return F.col("schema_name").isin(*self.exclude_schemas) | _pair_in(self.exclude_tables)
+        return self._columns()[1]
+
+
+def keeps(scope: Scope, schema: str, table: str) -> bool:
+    """The scope's decision on one name."""
+    included, excluded = scope._rule(lambda names: schema in names, lambda pairs: (schema, table) in pairs, True)
+    return included and not excluded
 
 
 def _pair_in(pairs: tuple[tuple[str, str], ...]) -> Column:

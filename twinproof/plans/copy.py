@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor, as_completed
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -16,7 +16,7 @@ from twinproof.operators.counts import TableMap
 from twinproof.operators.quality import Rule, check_unique, tag_violations
 from twinproof.operators.scope import Scope
 from twinproof.sinks.archive import write_archive
-from twinproof.sinks.files import exists
+from twinproof.sinks.files import exists, move_files
 from twinproof.sources.snapshot import read_snapshot
 
 MANIFEST_SCHEMA = "fingerprint string, schema_name string, table_name string, state string, rows bigint, finished timestamp"
@@ -27,12 +27,13 @@ class ResumeRefused(RuntimeError):
     """The copy that is to be resumed was started with another scope or other endpoints."""
 
 
-def fingerprint(source: str, target: str, scope: Scope) -> str:
+def fingerprint(source: str, target: str, scope: Scope, cut_lsn: int | None = None) -> str:
     """Hash of everything that defines a copy, whatever the order of the lists."""
     fields = {
         "source": source,
         "target": target,
         "what": scope.what,
+        "cut_lsn": cut_lsn,
         "schemas": sorted(scope.schemas),
         "tables": sorted(map(list, scope.tables)),
         "exclude_schemas": sorted(scope.exclude_schemas),
@@ -59,14 +60,20 @@ def pending_tables(spark: SparkSession, names: Sequence[tuple[str, str]], manife
     return wanted.join(manifest.filter(F.col("state") == DONE), ["schema_name", "table_name"], "left_anti")
 
 
-def _copy_one(df: DataFrame, path: str, what: str, compress: str | None) -> int:
-    """Write one table and return its row count, counted by the write itself."""
+def _copy_one(df: DataFrame, path: str, what: str, compress: str | None, mark: str, staging: str) -> int:
+    """Write one table and return its row count, counted by the write itself.
+
+    Rows that are added to a table are written beside it first. Their files then move in under names that begin
+    with the run's mark, in place of files of that mark: done twice, it gives what it gives once.
+    """
     if what == "schema-only":
         write_archive(df.sparkSession.createDataFrame([], df.schema), path, compress, mode="overwrite")
         return 0
     counter = Observation()
     counted = df.observe(counter, F.count(F.lit(1)).alias("rows"))
-    write_archive(counted, path, compress, mode="append" if what == "data-only" else "overwrite")
+    write_archive(counted, staging if what == "data-only" else path, compress, mode="overwrite")
+    if what == "data-only":
+        move_files(df.sparkSession, staging, path, mark)
     return counter.get["rows"]
 
 
@@ -79,6 +86,7 @@ def copy_tables(
     *,
     compress: str | None = None,
     cut_lsn: int | None = None,
+    immutable: Sequence[tuple[str, str]] = (),
     jobs: int = 8,
     resume: bool = False,
 ) -> DataFrame:
@@ -86,29 +94,39 @@ def copy_tables(
 
     ``jobs`` tables are written at a time; each write is spread over the cluster, so one large table
     does not hold the others up. With ``resume``, tables already done are left alone. An unfinished
-    table is written again from the start, in place of what it left behind.
+    table is written again from the start, in place of what it left behind. A table that fails does not stop
+    the others: all that end well are noted before its error is raised.
     """
     scope = scope or Scope()
-    mark = fingerprint(source, target, scope)
-    kept = read_snapshot(tables, scope, cut_lsn)
+    mark = fingerprint(source, target, scope, cut_lsn)
+    kept = read_snapshot(tables, scope, cut_lsn, immutable)
     names = list(kept)
     if resume and exists(spark, _manifest_path(target)):
         manifest = read_manifest(spark, target)
         if not manifest.filter(F.col("fingerprint") != mark).isEmpty():
-            raise ResumeRefused("scope or endpoints changed since this copy was started")
+            raise ResumeRefused("scope, endpoints or cut changed since this copy was started")
         # one row per table of the copy
         names = [(r["schema_name"], r["table_name"]) for r in pending_tables(spark, names, manifest).collect()]
     else:
         spark.createDataFrame([], MANIFEST_SCHEMA).write.mode("overwrite").parquet(_manifest_path(target))
 
     def run(name: tuple[str, str]) -> int:
-        return _copy_one(kept[name], table_path(target, *name), scope.what, compress)
+        return _copy_one(kept[name], table_path(target, *name), scope.what, compress, mark[:16], f"{target}/_staging/{mark[:16]}/{name[0]}/{name[1]}")
 
+    failed: list[BaseException] = []
     with ThreadPoolExecutor(max(jobs, 1)) as pool:
-        # noted one at a time: appends to one folder must not overlap
-        for written in as_completed(running := {pool.submit(run, n): n for n in names}):
-            entry = [(mark, *running[written], DONE, written.result(), datetime.now(timezone.utc))]
-            spark.createDataFrame(entry, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(_manifest_path(target))
+        waiting = {pool.submit(run, n): n for n in names}
+        while waiting:
+            # all that ended meanwhile are noted in one go; appends to one folder must not overlap
+            ended, _ = wait(waiting, return_when=FIRST_COMPLETED)
+            failed += [f.exception() for f in ended if f.exception()]
+            now = datetime.now(timezone.utc)
+            entries = [(mark, *waiting[f], DONE, f.result(), now) for f in ended if not f.exception()]
+            if entries:
+                spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(_manifest_path(target))
+            waiting = {f: n for f, n in waiting.items() if f not in ended}
+    if failed:
+        raise failed[0]
     return read_manifest(spark, target)
 
 

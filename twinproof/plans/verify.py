@@ -15,12 +15,13 @@ class VerifyFailed(RuntimeError):
 def verify(source: TableMap, target: TableMap, scope: Scope | None = None, mode: str = "strict") -> DataFrame | None:
     """Count report of both copies. Strict fails on a mismatch, warn prints it, off does nothing.
 
-    Run alone it is strict. The report has one row per table; the summary and the names of tables
-    that differ come to the driver.
+    Run alone it is strict. The report has one row per table. It is collected once, so that summary, names
+    and what is returned are of the same counts.
     """
     if mode == "off":
         return None
-    report = verify_row_counts(source, target, scope)
+    counted = verify_row_counts(source, target, scope)
+    report = counted.sparkSession.createDataFrame(counted.collect(), counted.schema)
     summary = verify_summary(report, mode).first()
     if summary["bad"]:
         names = ", ".join(f"{r['schema_name']}.{r['table_name']}" for r in mismatches(report).collect())

@@ -37,7 +37,10 @@ def parse_compression(spec: str | None) -> tuple[str, int | None] | None:
 
 
 def write_archive(df: DataFrame, path: str, compress: str | None = None, mode: str = "errorifexists", rows_per_file: int = 0) -> None:
-    """Write one table as Parquet. Every task writes its own files: no shuffle, no order."""
+    """Write one table as Parquet. Every task writes its own files: no shuffle, no order.
+
+    The Parquet writer has one lz4 level; a level given for it is checked and has no effect.
+    """
     writer = df.write.mode(mode)
     parsed = parse_compression(compress)
     if parsed:

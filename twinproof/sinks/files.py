@@ -24,3 +24,17 @@ def folders(spark: SparkSession, path: str) -> list[str]:
 def remove(spark: SparkSession, path: str) -> None:
     at, fs = _open(spark, path)
     fs.delete(at, True)
+
+
+def move_files(spark: SparkSession, source: str, target: str, prefix: str) -> None:
+    """Move the data files of one folder into another as ``prefix-...``, in place of all files of that prefix there."""
+    at, fs = _open(spark, source)
+    to, _ = _open(spark, target)
+    fs.mkdirs(to)
+    for old in fs.listStatus(to):
+        if old.getPath().getName().startswith(f"{prefix}-"):
+            fs.delete(old.getPath(), False)
+    for new in fs.listStatus(at):
+        name = new.getPath().getName()
+        if not name.startswith(("_", ".")) and not fs.rename(new.getPath(), spark._jvm.org.apache.hadoop.fs.Path(to, f"{prefix}-{name}")):
+            raise OSError(f"{name} could not be moved to {target}")

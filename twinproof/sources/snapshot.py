@@ -29,16 +29,22 @@ def catalog_tables(spark: SparkSession, scope: Scope | None = None) -> dict[tupl
 
 
 def read_snapshot(
-    tables: dict[tuple[str, str], DataFrame], scope: Scope | None = None, cut_lsn: int | None = None
+    tables: dict[tuple[str, str], DataFrame],
+    scope: Scope | None = None,
+    cut_lsn: int | None = None,
+    immutable: Iterable[tuple[str, str]] = (),
 ) -> dict[tuple[str, str], DataFrame]:
     """Tables in scope as of ``cut_lsn``: rows of a versioned table past the cut are left out.
 
-    The cut is a filter on a stored column, so it reaches the Parquet scan. Tables without a
-    position column are immutable and read as they are.
+    The cut is a filter on a stored column, so it reaches the Parquet scan. A table without a position column
+    cannot be cut; it is read as it is if it is listed as ``immutable``, and refused otherwise.
     """
     kept = in_scope(tables, scope)
     if cut_lsn is None:
         return kept
+    uncut = [n for n, df in kept.items() if "lsn" not in df.columns and n not in set(immutable)]
+    if uncut:
+        raise ValueError(f"no position column to cut at: {', '.join('.'.join(n) for n in sorted(uncut))}")
     return {
         name: df.filter(F.col("lsn") <= lsn_literal(cut_lsn, df.schema["lsn"].dataType)) if "lsn" in df.columns else df
         for name, df in kept.items()
@@ -55,6 +61,8 @@ def jdbc_options(
     """
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_rows), "pushDownAggregate": "true"}
     if split_column:
+        if lower >= upper:
+            raise ValueError("a split column needs its lowest and highest value: without them all rows go to one task")
         options |= {
             "partitionColumn": split_column,
             "lowerBound": str(lower),
