@@ -143,13 +143,13 @@ def held_samples(spark: SparkSession, sf: str) -> DataFrame:
 
 # first the line template per event_id % 7, then the same in SQL
 _LINES = [
-    (ERROR_PREFIX + "could not execute query: ERROR:  relation \"users_", "\" already exists"),
-    (ERROR_PREFIX + "ERROR:  COPY orders, line ", ": invalid input syntax for type integer"),
-    (ERROR_PREFIX + "must be owner of table t", "  "),
-    (ERROR_PREFIX + "extension \"pg_cron\" is not yet loaded, code ", ""),
-    (ERROR_PREFIX + "too many clients ", ""),
+    (ERROR_PREFIX + "step ", " found that its index already exists"),
+    (ERROR_PREFIX + "row ", " holds a number that is out of range"),
+    (ERROR_PREFIX + "grant ", " stopped, permission denied  "),
+    (ERROR_PREFIX + "the extension geo", " could not be made"),
+    (ERROR_PREFIX + "worker ", " ran into a wall"),
     (IGNORED_PREFIX, " "),
-    ("processing data for table postgresql://user:secret@host-", "/db"),
+    ("part no. ", " goes to postgresql://worker:open@sesame/7@store/db"),
 ]
 
 
