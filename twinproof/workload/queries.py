@@ -439,7 +439,7 @@ def online_resume(spark, sf):
     return table.read(spark)
 
 
-_ONLINE = {"customer": ("c_custkey", "c_acctbal"), "orders": ("o_orderkey", "o_totalprice"), "lineitem": ("l_orderkey", "l_tax")}
+_ONLINE = {"customer": ("c_custkey", "c_acctbal"), "orders": ("o_orderkey", "o_totalprice"), "supplier": ("s_suppkey", "s_nationkey")}
 
 
 def _final_sql(name: str) -> str:
@@ -1162,11 +1162,15 @@ def load_modes(spark, sf):
 
 
 _OFFLINE = [t for t in d.TABLES if t != "nation"]
+_BROKEN = {
+    "customer": "count(*) FILTER (c_acctbal < 0)",
+    "lineitem": "(SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1))",
+}
 
 
 @query(" UNION ALL ".join(
     f"""SELECT 'public' AS schema_name, '{t}' AS table_name, count(*) AS source, count(*) AS target, true AS analyzed, true AS equal,
-    {"count(*) FILTER (c_acctbal < 0)" if t == "customer" else "0"}::BIGINT AS broken FROM {t}""" for t in _OFFLINE))
+    {_BROKEN.get(t, "0")}::BIGINT AS broken FROM {t}""" for t in _OFFLINE))
 def offline_copy(spark, sf):
     """The whole scoped run: load, checks, statistics, counts and contents."""
     tables = d.source_tables(spark, sf, d.TABLES)
