@@ -6,9 +6,9 @@ Karp-Rabin finds the longest matches of unmarked words, marks them on both sides
 down to ``TILE`` words. Tiles may stand in any order, so a passage whose sentences were moved is covered too. A
 text is contaminated by an item if tiles cover at least ``COVERAGE`` of the item's words.
 
-Only words of the benchmark can be in a tile. While its vocabulary is below ``VOCABULARY`` words it is sent to the
-tasks and texts are cut to runs of such words; beyond that, whole texts are used: more rows, same result. Equal
-texts are judged once.
+Only words of the benchmark can be in a tile. While its vocabulary and seeds are below ``VOCABULARY`` entries they are
+sent to the tasks, texts are cut to runs of such words, and texts without a seed stay where they are: what is shuffled
+are the runs of candidates. Beyond that bound whole texts are used: more rows, same result. Equal texts are judged once.
 
 Defined cases: NULL and empty texts and items match nothing; NULL ids and repeated rows are kept row by row;
 an empty table on either side gives an empty result; other columns are carried unread.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from twinproof.llm.tables import content_address, written
 
-SEED, TILE, COVERAGE, VOCABULARY = 5, 3, 0.8, 1_000_000
+SEED, TILE, COVERAGE, VOCABULARY = 5, 3, 0.8, 500_000
 _WORD = re.compile(r"\w+")
 _BASE, _MOD = 1_000_003, (1 << 61) - 1
 
@@ -129,59 +129,59 @@ def _benchmark(items: DataFrame, item_id: str, text: str) -> DataFrame:
     return written(slim.mapInPandas(cut, "item_id long, words array<string>").groupBy("words").agg(F.min("item_id").alias("item_id")), "benchmark")
 
 
-def _vocabulary(items: DataFrame, most: int) -> frozenset[str] | None:
-    words = items.select(F.explode("words").alias("w")).distinct().limit(most + 1).collect()
-    return frozenset(r.w for r in words) if len(words) <= most else None
+def _bounded(values: DataFrame, most: int) -> frozenset | None:
+    """The distinct values of a column, if there are at most ``most``."""
+    rows = values.distinct().limit(most + 1).collect()
+    return frozenset(r[0] for r in rows) if len(rows) <= most else None
 
 
-def _text_seeds(docs: DataFrame, known, lengths: list[int]) -> DataFrame:
+def _candidate_texts(texts: DataFrame, words, wanted, lengths: list[int]) -> DataFrame:
+    """``(blob, runs, seeds)`` of the texts that share a seed with the benchmark, or may do so where its seeds are not known."""
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = known.value if known else None
+        vocabulary, known = words.value, wanted.value
         for batch in batches:
-            blobs, found = [], []
+            rows = []
             for blob, text in zip(batch.column("blob").to_pylist(), batch.column("text").to_pylist()):
-                own = set()
-                for _, words in runs(text, vocabulary, lengths[0]):
-                    for length in lengths:
-                        own |= seeds(words, length)
-                blobs += [blob] * len(own)
-                found += own
-            yield pa.RecordBatch.from_arrays([pa.array(blobs, pa.string()), pa.array(found, pa.int64())], names=["blob", "seed"])
+                found = list(runs(text, vocabulary, 1))
+                own = {h for _, run in found for length in lengths for h in seeds(run, length)}
+                if own := own if known is None else own & known:
+                    rows.append({"blob": blob, "runs": [{"start": s, "words": w} for s, w in found], "seeds": sorted(own)})
+            yield pa.RecordBatch.from_pylist(rows, schema=_CANDIDATE_ARROW)
 
-    return docs.mapInArrow(cut, "blob string, seed long")
+    return texts.mapInArrow(cut, _CANDIDATE)
 
 
-def _text_runs(docs: DataFrame, known) -> DataFrame:
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = known.value if known else None
-        for batch in batches:
-            rows = [(b, start, words) for b, t in zip(batch["blob"], batch["text"]) for start, words in runs(t, vocabulary, 1)]
-            yield pd.DataFrame(rows, columns=["blob", "start", "words"])
+_CANDIDATE = "blob string, runs array<struct<start: long, words: array<string>>>, seeds array<long>"
+_CANDIDATE_ARROW = pa.schema([
+    ("blob", pa.string()), ("runs", pa.list_(pa.struct([("start", pa.int64()), ("words", pa.list_(pa.string()))]))), ("seeds", pa.list_(pa.int64())),
+])
 
-    return docs.mapInPandas(cut, "blob string, start long, words array<string>")
 
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Coverage of one item by one text per row."""
+    for batch in batches:
+        rows = []
+        for row in batch.to_pylist():
+            text: list[str | None] = []
+            end = 0
+            for run in row["runs"]:
+                if run["start"] != end:
+                    text.append(None)
+                text += run["words"]
+                end = run["start"] + len(run["words"])
+            tiles = tile(row["item"], text)
+            rows.append({"blob": row["blob"], "item_id": row["item_id"], "coverage": coverage(tiles, row["item"]), "n_tiles": len(tiles)})
+        yield pa.RecordBatch.from_pylist(rows, schema=_JUDGED_ARROW)
 
-def _judge(pairs: pd.DataFrame) -> pd.DataFrame:
-    """One candidate pair: the runs of a text, each with the item's words."""
-    item, text, end = list(pairs["item"].iloc[0]), [], None
-    for start, words in sorted(zip(pairs["start"], map(list, pairs["words"]))):
-        if end != start:
-            text.append(None)
-        text += words
-        end = start + len(words)
-    tiles = tile(item, text)
-    row = (pairs["blob"].iloc[0], pairs["item_id"].iloc[0], coverage(tiles, item), len(tiles))
-    return pd.DataFrame([row], columns=["blob", "item_id", "coverage", "n_tiles"])
+
+_JUDGED_ARROW = pa.schema([("blob", pa.string()), ("item_id", pa.int64()), ("coverage", pa.float64()), ("n_tiles", pa.int64())])
 
 
 def leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", least: float = COVERAGE, vocabulary: int = VOCABULARY) -> DataFrame:
     """``(blob, item_id, coverage, n_tiles)`` of texts, by content address, and the items they hold."""
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     bench = _benchmark(items, item_id, item_text)
-    words = _vocabulary(bench, vocabulary)
-    known = spark.sparkContext.broadcast(words) if words is not None else None
-    lengths = [r.n for r in bench.select(F.least(F.size("words"), F.lit(SEED)).alias("n")).distinct().orderBy("n").collect()] or [SEED]
-    texts = docs.select(content_address(F.col(text)).alias("blob"), F.col(text).alias("text"))
 
     def item_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -189,12 +189,16 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str =
             yield pd.DataFrame(rows, columns=["item_id", "seed"]).astype("int64")
 
     wanted = written(bench.mapInPandas(item_seeds, "item_id long, seed long"), "benchmark-seeds")
-    # the seeds of a text are told from those of the benchmark before anything is shuffled, when the table is small
-    candidates = written(_text_seeds(texts, known, lengths).join(wanted, "seed").select("blob", "item_id").distinct(), "candidates")
-    blobs = candidates.select("blob").distinct()
-    some = texts.join(blobs, "blob", "left_semi").groupBy("blob").agg(F.first("text").alias("text"))
-    pairs = _text_runs(some, known).join(candidates, "blob").join(bench.withColumnRenamed("words", "item"), "item_id")
-    judged = pairs.groupBy("blob", "item_id").applyInPandas(_judge, "blob string, item_id long, coverage double, n_tiles long")
+    words = context.broadcast(_bounded(bench.select(F.explode("words")), vocabulary))
+    known = context.broadcast(_bounded(wanted.select("seed"), vocabulary))
+    lengths = [r.n for r in bench.select(F.least(F.size("words"), F.lit(SEED)).alias("n")).distinct().collect()]  # at most SEED rows
+    texts = docs.select(content_address(F.col(text)).alias("blob"), F.col(text).alias("text"))
+    # copies of a text meet within a task before the shuffle
+    some = _candidate_texts(texts, words, known, lengths).groupBy("blob").agg(F.first("runs").alias("runs"), F.first("seeds").alias("seeds"))
+    some = written(some, "candidate-texts")
+    pairs = some.select("blob", F.explode("seeds").alias("seed")).join(wanted, "seed").select("blob", "item_id").distinct()
+    both = pairs.join(some.select("blob", "runs"), "blob").join(bench.withColumnRenamed("words", "item"), "item_id")
+    judged = both.select("blob", "item_id", "runs", "item").mapInArrow(_judged, "blob string, item_id long, coverage double, n_tiles long")
     return judged.where(F.col("coverage") >= least)
 
 
@@ -209,4 +213,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", **optio
     """The rows of ``docs`` that hold no item."""
     found = written(leaks(docs, items, text, **options).select(F.col("blob").alias("_blob")).distinct(), "leaks")
     packed = docs.select(F.struct(*docs.columns).alias("_row"), content_address(F.col(text)).alias("_address"))
-    return packed.join(found, F.col("_address") == F.col("_blob"), "left_anti").select("_row.*")
+    # the list grows with the corpus, so it is shuffled and not broadcast; a text that fills a partition is a skewed key, which AQE splits
+    return packed.join(found.hint("merge"), F.col("_address") == F.col("_blob"), "left_anti").select("_row.*")
