@@ -19,8 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from twinproof.llm.spans import Kind, digest, find_spans
-from twinproof.llm.tables import content_address, written
+from twinproof.llm.spans import Kind, chunks, digest, find_spans, part
+from twinproof.llm.tables import bind, content_address, written
 
 _LOCAL = "A-Za-z0-9._%+-"
 _OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"
@@ -71,11 +71,15 @@ def disclosing_terms(docs: DataFrame, text: str, marked: DataFrame, spans: DataF
     Words are counted over all different texts before they meet the candidates: what is shuffled is each task's
     vocabulary, whatever the number of candidates and however frequent a word.
     """
-    at = spans.select("blob", "kind", "start", "end", F.when(F.col("kind") == "email", F.lower("match")).otherwise(_digits(F.col("match"))).alias("value"))
-    begin = F.greatest(F.col("start") - rule.reach, F.lit(0))
-    part = lambda at, n: F.substring("content", (at + 1).cast("int"), n.cast("int"))
-    near = F.concat_ws(" ", part(begin, F.col("start") - begin), part(F.col("end"), F.lit(rule.reach)))
-    contexts = at.join(marked, "blob").select("kind", "value", F.array_sort(_terms(near)).alias("terms")).distinct()
+    value = F.when(F.col("kind") == "email", F.lower("match")).otherwise(_digits(F.col("match")))
+    found = spans.groupBy("blob").agg(F.collect_list(F.struct("kind", value.alias("value"), "start", "end")).alias("found"))
+
+    def near(pieces: Column) -> Column:
+        before = lambda s: part(pieces, F.greatest(s["start"] - rule.reach, F.lit(0)), s["start"])
+        behind = lambda s: part(pieces, s["end"], s["end"] + rule.reach)
+        return F.transform("found", lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("value"), F.array_sort(_terms(F.concat_ws(" ", before(s), behind(s)))).alias("terms")))
+
+    contexts = found.join(marked, "blob").select(F.explode(bind(chunks(F.col("content")), near)).alias("c")).select("c.kind", "c.value", "c.terms").distinct()
     together = contexts.select("kind", "value", F.explode("terms").alias("term")).groupBy("kind", "value", "term").agg(F.count("*").alias("n"))
     candidates = written(together.where(F.col("n") >= rule.min_contexts).groupBy("term").agg(F.max("n").alias("n")), "pii-candidates")
     texts = docs.select(content_address(F.col(text)).alias("blob"), F.col(text).alias("content")).groupBy("blob").agg(F.first("content").alias("content"))
@@ -142,11 +146,15 @@ def sanitise(docs: DataFrame, spans: DataFrame, text: str = "text") -> DataFrame
     merged = merged.withColumn("from", F.coalesce(F.lag("end").over(Window.partitionBy("blob").orderBy("start")), F.lit(0)))
     edits = merged.groupBy(F.col("blob").alias("_blob")).agg(F.sort_array(F.collect_list(F.struct("start", "from", "end", "label"))).alias("_edits"))
     rows = docs.select(F.struct(*docs.columns).alias("_row"), content_address(F.col(text)).alias("_address"))
-    rows = rows.join(written(edits, "pii-edits"), F.col("_address") == F.col("_blob"), "left")
+    # edits grow with the corpus, so they are shuffled and not broadcast; a text that fills a partition is a skewed key, which AQE splits
+    rows = rows.join(written(edits, "pii-edits").hint("merge"), F.col("_address") == F.col("_blob"), "left")
     body = F.col("_row")[text]
-    pieces = F.transform("_edits", lambda e: F.concat(F.substring(body, (e["from"] + 1).cast("int"), (e["start"] - e["from"]).cast("int")), e["label"]))
-    tail = F.substring(body, (F.element_at("_edits", -1)["end"] + 1).cast("int"), F.length(body))
-    new = F.when(F.col("_edits").isNull(), body).otherwise(F.concat(F.array_join(pieces, ""), tail))
+
+    def rewritten(pieces: Column) -> Column:
+        edits = F.transform("_edits", lambda e: F.concat(part(pieces, e["from"], e["start"]), e["label"]))
+        return F.concat(F.array_join(edits, ""), part(pieces, F.element_at("_edits", -1)["end"], F.length(body).cast("long")))
+
+    new = F.when(F.col("_edits").isNull(), body).otherwise(bind(chunks(body), rewritten))
     out = {c: F.col("_row")[c] for c in docs.columns} | {text: new}
     if "n_chars" in docs.columns:
         out["n_chars"] = F.when(F.col("_edits").isNull(), out["n_chars"]).otherwise(F.length(new).cast(docs.schema["n_chars"].dataType))

@@ -18,17 +18,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinproof.llm.tables import SPACE, words, written
+from twinproof.llm.tables import SPACE, bind, words, written
 
 WINDOW = 8
 SYMBOLS = r"[#*$%&|<>]"
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` with ``value`` evaluated once, however often it is used in there."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _repeated_windows(sorted_windows: Column) -> Column:
     """Ascending starts of the windows that occur twice or more; windows come sorted as (hash, start)."""
 
@@ -112,10 +107,9 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     return with_base.select(*[c for c in docs.columns if c not in names], *[F.col(f"_base.{x}").alias(x) for x in names])
 
 
-def ordered(numbers: DataFrame, listed: list[Rule], sample_rows: int = 2000, seed: int = 11) -> list[Rule]:
+def ordered(docs: DataFrame, listed: list[Rule], sample_rows: int = 2000, seed: int = 11) -> list[Rule]:
     """The rules by rejections per second on a sample of about ``sample_rows`` rows; best first, ties as listed."""
-    total = numbers.count()
-    sample = written(numbers.sample(min(1.0, sample_rows / max(1, total)), seed), "rule-sample")
+    sample = written(measured(docs.sample(min(1.0, sample_rows / max(1, docs.count())), seed)), "rule-sample")
     value = {}
     for rule in listed:
         begun = time.perf_counter()
@@ -136,7 +130,7 @@ def judge(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """Per row: ``keep``, the base numbers, ``base_failed``, and ``kept`` by base and cascade."""
     slim = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col(text).alias("text"))
     numbers = measured(slim)
-    order = ordered(measured(slim.select("text")), rules())
+    order = ordered(slim.select("text"), rules())
     failed = base_failed(F.col)
     return numbers.select(
         *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)],

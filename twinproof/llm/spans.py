@@ -72,3 +72,22 @@ def find_spans(texts: DataFrame, key: str, text: str, kinds: list[Kind], skip: s
 def digest(spans: Column) -> Column:
     """``kind:start:end`` of structs already in order, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+PIECE = 4096
+
+
+def chunks(text: Column) -> Column:
+    """A text in pieces of ``PIECE`` code points, so that a place far inside is found without counting from the start."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def part(pieces: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` (exclusive) of a text that was cut by :func:`chunks`; empty when there are none."""
+    first, last = F.floor(start / PIECE).cast("int"), F.floor(end / PIECE).cast("int")
+    at = lambda p, a, n: F.substring(F.coalesce(F.get(pieces, p), F.lit("")), a, n)
+    head, left = (start % PIECE).cast("int"), (end % PIECE).cast("int")
+    one = at(first, head + 1, (end - start).cast("int"))
+    inner = F.when(last - first > 1, F.array_join(F.slice(pieces, first + 2, F.greatest(last - first - 1, F.lit(0))), "")).otherwise("")
+    many = F.concat(at(first, head + 1, F.lit(PIECE)), inner, at(last, F.lit(1), left))
+    return F.when(end <= start, "").when(first == last, one).otherwise(many)
