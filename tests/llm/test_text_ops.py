@@ -151,12 +151,12 @@ def test_quality_numbers(docs, empty):
 def test_cascade_order_changes_nothing_but_cost(docs):
     numbers = quality_rules.measured(docs.select("doc_id", "text"))
     listed = quality_rules.rules()
-    chosen = quality_rules.ordered(numbers, listed, sample_rows=50)
+    chosen = quality_rules.ordered(docs.select("text"), listed, sample_rows=50)
     assert sorted(r.name for r in chosen) == sorted(r.name for r in listed)
     kept = [bag(numbers.where(quality_rules.cascade(order).isNull()).select("doc_id")) for order in (listed, listed[::-1], chosen)]
     assert kept[0] == kept[1] == kept[2]
     fake = [quality_rules.Rule("never", F.lit(False)), quality_rules.Rule("often", F.col("n_words") >= 0)]
-    assert [r.name for r in quality_rules.ordered(numbers, fake)] == ["often", "never"]
+    assert [r.name for r in quality_rules.ordered(docs.select("text"), fake)] == ["often", "never"]
 
 
 def test_mix(docs, empty):

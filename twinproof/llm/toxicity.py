@@ -149,8 +149,12 @@ def _log_odds(t, c, n_t: float, n_c: float):
     return F.log((t + 0.5) / (n_t + 1)) - F.log((c + 0.5) / (n_c + 1))
 
 
-def _weights(spots: DataFrame, n_toxic: int, n_clean: int, most: int) -> dict[str, float]:
-    """The patterns with the strongest evidence: at least three witnesses, odds above e, and a G test beyond 18."""
+#: Least log odds and least G statistic of a pattern: to be suspected, and to be in the lexicon.
+SUSPECT, SURE = (0.5, 6.0), (1.0, 18.0)
+
+
+def _weights(spots: DataFrame, n_toxic: int, n_clean: int, most: int, least: tuple[float, float] = SURE) -> dict[str, float]:
+    """The patterns with the strongest evidence, at least three witnesses each."""
     seen = spots.distinct().groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
     begins = F.transform(F.sequence(F.lit(4), F.lit(9)), lambda k: F.concat(F.lit(" "), F.substring("word", F.lit(1), k)))
     longer = F.filter(begins, lambda p: F.length(p) <= F.length("word"))
@@ -161,12 +165,15 @@ def _weights(spots: DataFrame, n_toxic: int, n_clean: int, most: int) -> dict[st
     part = lambda n, p: F.when(n > 0, n * F.log(n / ((F.col("t") + F.col("c")) * p))).otherwise(0.0)
     g = 2 * (part(F.col("t"), share) + part(F.col("c"), 1 - share))
     weight = _log_odds(F.col("t"), F.col("c"), n_toxic, n_clean)
-    chosen = counts.select("pattern", weight.alias("w"), g.alias("g"), "t").where("t >= 3 AND w > 1.0 AND g > 18.0")
+    chosen = counts.select("pattern", weight.alias("w"), g.alias("g"), "t").where((F.col("t") >= 3) & (F.col("w") > least[0]) & (F.col("g") > least[1]))
     return {r.pattern: r.w for r in chosen.orderBy(F.desc("g"), "pattern").limit(most).collect()}
 
 
 def _exceptions(rows: DataFrame, lexicon: Lexicon, most: int) -> tuple[str, ...]:
-    """Pairs of a hit word and a neighbour that clean texts have in three different surroundings, and toxic ones never."""
+    """Pairs of a hit word and a neighbour that clean texts have in three different surroundings, and toxic ones never.
+
+    A pair must make up a tenth of the word's places in clean texts: what excuses a word is the usual way to use it.
+    """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         automaton = lexicon.automaton()
@@ -180,14 +187,17 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon, most: int) -> tuple[str, ...]
                     on = folded.find(" ", stop + 1)
                     far = folded.rfind(" ", 0, back) if back > 0 else -1
                     after = folded.find(" ", on + 1) if on > 0 else -1
+                    word = folded[start + 1 : stop]
                     if back >= 0:
-                        out.append((label, folded[back : stop + 1], folded[far + 1 : back] if far >= 0 else ""))
+                        out.append((label, word, folded[back : stop + 1], folded[far + 1 : back] if far >= 0 else ""))
                     if on > 0:
-                        out.append((label, folded[start : on + 1], folded[on + 1 : after] if after > 0 else ""))
-            yield pd.DataFrame(out, columns=["toxic", "phrase", "near"]).astype({"toxic": "int32"})
+                        out.append((label, word, folded[start : on + 1], folded[on + 1 : after] if after > 0 else ""))
+            yield pd.DataFrame(out, columns=["toxic", "word", "phrase", "near"]).astype({"toxic": "int32"})
 
-    seen = rows.mapInPandas(cut, "toxic int, phrase string, near string").distinct()
-    counts = seen.groupBy("phrase").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).where("t = 0 AND c >= 3")
+    seen = rows.mapInPandas(cut, "toxic int, word string, phrase string, near string").distinct()
+    counts = seen.groupBy("word", "phrase").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
+    words = counts.groupBy("word").agg(F.sum("c").alias("all"))
+    counts = counts.join(words, "word").where("t = 0 AND c >= 3 AND 20 * c >= all")  # two pairs a place
     return tuple(r.phrase for r in counts.orderBy(F.desc("c"), "phrase").limit(most).collect())
 
 
@@ -207,10 +217,10 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     flat = math.log((n.get(1, 0) + 0.5) / (n.get(0, 0) + 0.5))
     if not base.get(1) or not base.get(0):
         return Lexicon(curve=(flat, 0.0, 0.0))
-    lexicon = Lexicon(_weights(_spots(rows.where(~fit)), base[1], base[0], LEXICON))
-    excused = _exceptions(rows.where(~fit), lexicon, EXCEPTIONS)
-    if excused:  # what a word weighs where nothing excuses it
-        lexicon = Lexicon(_weights(_spots(rows.where(~fit), frozenset(excused)), base[1], base[0], LEXICON), excused)
+    suspects = Lexicon(_weights(_spots(rows.where(~fit)), base[1], base[0], LEXICON, SUSPECT))
+    excused = _exceptions(rows.where(~fit), suspects, EXCEPTIONS)
+    # what a word weighs where nothing excuses it
+    lexicon = Lexicon(_weights(_spots(rows.where(~fit), frozenset(excused)), base[1], base[0], LEXICON), excused)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         automaton = lexicon.automaton()
