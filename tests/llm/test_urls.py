@@ -1,3 +1,4 @@
+import duckdb
 from pyspark.sql import functions as F
 
 from tests.llm import brute
@@ -48,3 +49,13 @@ def test_components_of_chains_stars_and_loops(spark):
     assert {r.node: r.root for r in got.collect()} == want and got.count() == len(want)
     assert connected_components(spark.createDataFrame([], "x long, y long"), "x", "y").count() == 0
     assert got.where(F.col("root").isNull()).count() == 0
+
+
+def test_sql_agrees_on_odd_pages(spark, tmp_path):
+    from tests.oracle import compare
+    from twinproof.llm.queries import ORACLE, QUERIES
+
+    spark.createDataFrame([p[:3] for p in PAGES], "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert compare(QUERIES["op7_redirect_equivalence"](spark, str(tmp_path)), con, ORACLE["op7_redirect_equivalence"]) is None

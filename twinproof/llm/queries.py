@@ -133,6 +133,58 @@ def op7_redirect_equivalence(spark, sf):
     return urls.judge_urls(table(spark, sf, "pages"))
 
 
+def _host_sql(u: str) -> str:
+    return f"translate(coalesce(regexp_extract({u}, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _path_sql(u: str) -> str:
+    return f"coalesce(regexp_extract({u}, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
+
+
+def _node_sql(u: str) -> str:
+    query_part = f"regexp_extract({u}, '(?s)^.*?://[^?#]*([?][^#]*)', 1)"
+    return f"CASE WHEN contains({u}, '://') THEN {_host_sql(u)} || coalesce(nullif({_path_sql(u)}, ''), '/') || {query_part} END"
+
+
+def _rule_sql(host: str, path: str, give: int) -> str:
+    rules = [
+        ("www.example.com", "/en/", "www.example.com/en/", "allow"), ("example.com", "/en/", "example.com/en/", "block"),
+        ("net", "/fr/", "net/fr/", "block"), ("net", "/es/", "net/es/", "block"), ("com", "/", "com/", "allow"),
+    ]
+    cases = " ".join(f"WHEN ({host} = '{r[0]}' OR ends_with({host}, '.{r[0]}')) AND starts_with({path}, '{r[1]}') THEN '{r[give]}'" for r in rules)
+    return f"CASE {cases} END"
+
+
+_HREF_SQL = r"""'(?is)\bhref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))'"""
+_REFRESH_SQL = r"""'(?is)\bcontent\s*=\s*(?:"[^";]*;\s*url\s*=\s*''?([^"'']*)|''[^'';]*;\s*url\s*=\s*"?([^"'']*))'"""
+_GROUPS = lambda pattern, n: "coalesce(" + ", ".join(f"nullif(regexp_extract(tag, {pattern}, {g}), '')" for g in range(1, n + 1)) + ")"
+
+ORACLE["op7_redirect_equivalence"] = rf"""
+WITH RECURSIVE tags AS (
+    SELECT url, unnest(regexp_extract_all(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?is)<script\b.*?</script>', '', 'g'),
+        '(?is)<(?:link|meta)\b(?:[^>"'']|"[^"]*"|''[^'']*'')*>')) AS tag
+    FROM pages WHERE contains(url, '://') AND regexp_matches(html, '(?i)canonical|http-equiv')
+), targets AS (
+    SELECT url, {_host_sql('url')} AS host, {_path_sql('url')} AS path, trim(replace(CASE
+        WHEN regexp_matches(tag, '(?is)^<link\b.*\brel\s*=\s*["'']?canonical\b') THEN {_GROUPS(_HREF_SQL, 3)}
+        WHEN regexp_matches(tag, '(?is)^<meta\b.*\bhttp-equiv\s*=\s*["'']?refresh\b') THEN {_GROUPS(_REFRESH_SQL, 2)} END, '&amp;', '&')) AS t FROM tags
+), links AS (
+    SELECT url AS u, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN starts_with(t, '//') THEN 'http:' || t
+        WHEN t = '' OR starts_with(t, '#') OR regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL WHEN starts_with(t, '/') THEN 'http://' || host || t
+        WHEN starts_with(t, '?') THEN 'http://' || host || path || t
+        ELSE 'http://' || host || coalesce(nullif(regexp_replace(path, '[^/]*$', ''), ''), '/') || t END AS v FROM targets WHERE t IS NOT NULL
+), ends AS (SELECT u, v, {_node_sql('u')} AS a, {_node_sql('v')} AS b FROM links WHERE v IS NOT NULL),
+edges AS (SELECT a, b FROM ends WHERE a <> b UNION SELECT b, a FROM ends WHERE a <> b),
+reach AS (SELECT a AS node, a AS seen FROM edges UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.seen = e.a),
+own AS (SELECT DISTINCT node, {_rule_sql(_host_sql('url'), _path_sql('url'), 3)} AS own
+    FROM (SELECT a AS node, u AS url FROM ends UNION SELECT b, v FROM ends)),
+alias AS (SELECT r.node, CASE WHEN bool_or(own = 'allow') THEN 'allow' WHEN bool_or(own = 'block') THEN 'block' END AS verdict
+    FROM reach r JOIN own ON r.seen = own.node GROUP BY r.node),
+p AS (SELECT page_id, {_host_sql('url')} AS host, {_path_sql('url')} AS path, {_node_sql('url')} AS node FROM pages)
+SELECT page_id, host, path, {_rule_sql('host', 'path', 2)} AS rule, coalesce({_rule_sql('host', 'path', 3)}, alias.verdict, 'allow') AS verdict
+FROM p LEFT JOIN alias USING (node)"""
+
+
 @query
 def op9_repeat_mix(spark, sf):
     """What a mix of all documents takes of each."""
