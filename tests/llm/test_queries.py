@@ -21,8 +21,8 @@ def test_query(spark, name):
         df.collect()
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark):

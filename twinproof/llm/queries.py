@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinproof.llm import chat, mixing, pii, quality_bayes, quality_rules, simhash, tiling, toxicity, urls
+from twinproof.llm import bpe, chat, merkle, mixing, pii, quality_bayes, quality_rules, simhash, tiling, toxicity, trie, urls
 from twinproof.llm.secrets import BlobLedger
 from twinproof.llm.tables import written
 from twinproof.session import work_dir
@@ -227,3 +227,98 @@ def op3_folded_lexicon(spark, sf):
 def op6_empirical_bayes(spark, sf):
     """Quality of all documents from their text and the places they come from."""
     return quality_bayes.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op11_merkle_manifest(spark, sf):
+    """Merkle manifest of all documents: proofs of all rows, half of them tampered with."""
+    return merkle.report(table(spark, sf, "documents"))
+
+
+def _crc_sql(value: str) -> str:
+    """crc32 of a value as text; needs the table ``crc`` of one row."""
+    codes = f"list_transform(string_split(({value})::VARCHAR, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, b: xor(a // 256, crc.t[(xor(a, b) % 256) + 1])), 4294967295::BIGINT)"
+
+
+#: The usual table of crc32, from its polynomial.
+_CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END)) AS t)"""
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ("doc_id", "source", "lang", "n_chars", text)
+    return "sha256(" + " || ".join(f"coalesce(strlen(({f})::VARCHAR) || ':' || ({f})::VARCHAR, '-')" for f in fields) + ")"
+
+
+_CUT = "replace(text, chr(10), '')"
+ORACLE["op11_merkle_manifest"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (
+    SELECT doc_id, source, {_leaf_sql("text")} AS leaf, CASE WHEN {_crc_sql("doc_id")} % 2 = 0 THEN {_leaf_sql(_CUT)} ELSE {_leaf_sql("text")} END AS claim
+    FROM documents, crc
+), l AS (
+    SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY source) AS n,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM d
+), low AS (
+    SELECT tree, 0 AS level, place, leaf AS h, n FROM l
+    UNION ALL SELECT tree, level + 1, place // 3, sha256(string_agg(h, '' ORDER BY place)), (n + 2) // 3 FROM low WHERE n > 1 GROUP BY tree, level, place // 3, n
+), high AS (
+    SELECT -1::BIGINT AS tree, 0 AS level, tree AS place, h, (SELECT count(DISTINCT tree) FROM l) AS n FROM low WHERE n = 1
+    UNION ALL SELECT tree, level + 1, place // 3, sha256(string_agg(h, '' ORDER BY place)), (n + 2) // 3 FROM high WHERE n > 1 GROUP BY tree, level, place // 3, n
+), every AS (SELECT * FROM low WHERE n > 1 UNION ALL SELECT * FROM high WHERE n > 1),
+beside AS (
+    SELECT tree, level, place, n, coalesce(string_agg(h, '') OVER (w ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS elder,
+        coalesce(string_agg(h, '') OVER (w ORDER BY place ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS younger
+    FROM every WINDOW w AS (PARTITION BY tree, level, place // 3)
+), climb AS (
+    SELECT doc_id, tree AS own, place AS spot, 0 AS step, CASE WHEN n = 1 THEN -1 ELSE tree END AS tree, 0 AS level, CASE WHEN n = 1 THEN tree ELSE place END AS place,
+        claim AS folded, '' AS proof FROM l
+    UNION ALL
+    SELECT c.doc_id, c.own, c.spot, c.step + 1, CASE WHEN b.n <= 3 THEN -1 ELSE c.tree END, CASE WHEN b.n <= 3 AND c.tree >= 0 THEN 0 ELSE c.level + 1 END,
+        CASE WHEN b.n <= 3 AND c.tree >= 0 THEN c.tree ELSE c.place // 3 END, sha256(b.elder || c.folded || b.younger), c.proof || b.elder || b.younger
+    FROM climb c JOIN beside b ON c.tree = b.tree AND c.level = b.level AND c.place = b.place
+), done AS (SELECT own, spot, arg_max(folded, step) AS folded_root, sha256(arg_max(proof, step)) AS proof_sha256 FROM climb GROUP BY own, spot),
+peak AS (SELECT h AS root FROM high WHERE n = 1)
+SELECT l.doc_id, l.leaf, s.h AS subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM l JOIN low s ON s.tree = l.tree AND s.n = 1 JOIN done ON done.own = l.tree AND done.spot = l.place, peak"""
+
+
+@query
+def op12_byte_bpe(spark, sf):
+    """Tokens of all documents, and what they decode to."""
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    vocabulary = bpe.Vocabulary.of(ranks, public_tokenizers.PATTERN)
+    return bpe.digests(bpe.encode(table(spark, sf, "documents"), vocabulary), vocabulary)
+
+
+@query
+def op13_prefix_trie(spark, sf):
+    """Nodes of the prefix trie of all conversations."""
+    return trie.report(table(spark, sf, "conversations"))
+
+
+ORACLE["op13_prefix_trie"] = f"""
+WITH {_CRC_TABLE},
+t AS (SELECT conv_id AS c, turn, length(coalesce(text, '')) AS n, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+    FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k) AS pos FROM t),
+convs AS (SELECT c, {_crc_sql("c")} % 6 AS h FROM (SELECT DISTINCT c FROM t), crc),
+again AS (
+    SELECT v.c, 0 AS part, p.pos, k, n FROM convs v JOIN placed p ON p.c = v.c - v.c % 100 AND p.pos <= h
+    UNION ALL SELECT v.c, 1, p.pos, k, n FROM convs v JOIN placed p ON p.c = v.c AND p.pos > h
+),
+paths AS (SELECT c, coalesce(list(k ORDER BY part, pos) FILTER (k IS NOT NULL), []) AS ks, list(n ORDER BY part, pos) FILTER (k IS NOT NULL) AS ns
+    FROM convs LEFT JOIN again USING (c) GROUP BY c),
+pre AS (SELECT c, d, ks[1:d] AS own, CASE WHEN d > 0 THEN ns[d] ELSE 0 END AS n, d = len(ks) AS ends FROM paths, unnest(range(len(ks) + 1)) AS u(d)),
+node AS (
+    SELECT d, array_to_string(own, ',') AS key, any_value(own) AS own, any_value(n) AS n, min(c) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM pre GROUP BY 1, 2
+),
+kids AS (SELECT d - 1 AS d, array_to_string(own[1:d-1], ',') AS key, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1, 2),
+full_ AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (d, key)),
+sums AS (SELECT e AS d, array_to_string(own[1:e], ',') AS key, sum((n_convs - 1) * n) AS saved, count_if(n_children = 0) AS leaves FROM full_, unnest(range(d + 1)) AS u(e) GROUP BY 1, 2)
+SELECT f.conv_id, f.d::BIGINT AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, f.ends_sha256
+FROM full_ f JOIN sums s USING (d, key) LEFT JOIN node p ON f.d > 0 AND p.d = f.d - 1 AND p.key = array_to_string(f.own[1:f.d-1], ',')"""
