@@ -66,7 +66,7 @@ def test_older_pieces_come_back(both, monkeypatch):
     ours = bpe.Encoder(both[0])
     text = "one two three four one two five six seven one " * 3
     assert list(ours.encode(text)) == both[1].encode_ordinary(text)
-    assert len(ours.pieces) <= 4
+    assert len(ours.pieces) <= 3 and len(ours.words) <= 3
 
 
 def test_decode_any_bytes(both):

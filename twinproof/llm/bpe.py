@@ -21,9 +21,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable, Iterator
+import re
+import struct
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STATES, PIECES, PAIRS, VOCABULARY = 1 << 16, 1 << 17, 1 << 18, 1 << 20
-#: Longest piece that is kept, longest text cut at once, tokens of a batch that leaves a task, tokens decoded at a time.
-KEPT, LONG, BATCH, CHUNK = 32, 1 << 20, 1 << 19, 1 << 14
+STATES, PIECES, PAIRS, VOCABULARY = 1 << 17, 3 << 17, 1 << 18, 1 << 20
+#: Tokens below a place of the trie up to which readings are told apart by them, longest piece that is kept, longest text cut at once, tokens of a batch that leaves a task, tokens decoded at a time.
+FEW, KEPT, LONG, BATCH, CHUNK = 8, 32, 1 << 20, 1 << 19, 1 << 14
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -92,9 +93,33 @@ class Transducer:
                 if at == len(self.ends):
                     self.ends.append(-1)
             self.ends[at] = rank
+        self.below = self._few()
         self.pairs: dict[int, bool] = {}
+        self.forgets: dict[int, int] = {}
         self._clear()
 
+    def _few(self) -> list[list[int] | None]:
+        """By place of the trie, the tokens that end there or below; None where they are more than ``FEW``."""
+        below: list[list[int] | None] = [[t] if t >= 0 else [] for t in self.ends]
+        for step, at in sorted(self.child.items(), key=lambda x: -x[1]):  # places come after those above them
+            up, own = below[step >> 8], below[at]
+            below[step >> 8] = None if up is None or own is None or len(up) + len(own) > FEW else up + own
+        return below
+
+    def _before(self, before: int, node: int) -> int:
+        """What a reading has to remember of the token before: itself, -1 if nothing, or -2 if no token can come of the reading."""
+        few = self.below[node]
+        if before < 0 or few is None:
+            return before
+        key = before << 32 | node
+        known = self.forgets.get(key)
+        if known is None:
+            if len(self.forgets) >= PAIRS:
+                self.forgets.clear()
+            fit = sum(self.neighbours(before, t) for t in few)
+            known = self.forgets[key] = -2 if not fit else -1 if fit == len(few) else before
+        return known
+
     def _clear(self) -> None:
         self.number: dict[tuple, int] = {}
         self.readings: list[tuple] = []
@@ -107,7 +132,7 @@ class Transducer:
         if at is None:
             at = self.number[readings] = len(self.readings)
             self.readings.append(readings)
-            self.rest.append(next((told for _, node, told in readings if node == 0), ()))
+            self.rest.append(readings[0][2])
         return at
 
     def neighbours(self, a: int, b: int) -> bool:
@@ -138,22 +163,29 @@ class Transducer:
 
     def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """Determinises one transition: the next state and the tokens that all its readings agree on."""
-        open_ = []
+        open_, ended, child, ends = [], (), self.child, self.ends
         for before, node, told in self.readings[state]:
-            node = self.child.get(node << 8 | byte)
-            if node is None:
+            node = child.get(node << 8 | byte)
+            if node is None or (before := self._before(before, node)) == -2:
                 continue
             open_.append((before, node, told))
-            token = self.ends[node]
+            token = ends[node]
             if token >= 0 and (before < 0 or self.neighbours(before, token)):
-                open_.append((token, 0, told + (token,)))
-        shared = min((told for *_, told in open_), key=len)
-        n = next((i for i in range(len(shared)) if any(told[i] != shared[i] for *_, told in open_)), len(shared))
-        readings = tuple(sorted((before, node, told[n:]) for before, node, told in open_))
+                ended = told + (token,)
+        # the reading that ends here stands first; there is one, as every beginning of a piece has an encoding
+        n = len(ended)
+        for _, _, told in open_:
+            n = min(n, len(told))
+            while told[:n] != ended[:n]:
+                n -= 1
+        shared = ended[:n]
+        if n:
+            open_ = [(before, node, told[n:]) for before, node, told in open_]
+        readings = ((ended[-1], 0, ended[n:]), *open_)
         if len(self.readings) >= self.most and readings not in self.number:
             self._clear()
-            return self._state(readings), shared[:n]
-        move = self.moves[state << 8 | byte] = self._state(readings), shared[:n]
+            return self._state(readings), shared
+        move = self.moves[state << 8 | byte] = self._state(readings), shared
         return move
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
@@ -171,34 +203,63 @@ class Transducer:
         return (*out, *self.rest[state])
 
 
-class Pieces(dict):
-    """Token ids of pieces by their text. When it is full it becomes the older half, from which pieces come back as they are met."""
+class Table(dict):
+    """Token ids by text, as bytes of 32-bit numbers; what was made is kept. When it is full it becomes the older half, from which texts come back as they are met."""
 
-    def __init__(self, transducer: Transducer):
+    def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
-        self.transducer, self.older = transducer, {}
+        self.make, self.older = make, {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.older.get(piece) or self.transducer.encode(piece.encode())
-        if len(piece) <= KEPT:
+    def __missing__(self, text: str) -> bytes:
+        ids = self.older.get(text)
+        if ids is None:
+            ids = self.make(text)
+        if len(text) <= KEPT:
             if len(self) >= PIECES:
                 self.older = dict(self)
                 self.clear()
-            self[piece] = ids
+            self[text] = ids
         return ids
 
 
+#: White space beside a space.
+_WIDE = re.compile(r" \s|\s ")
+
+
 class Encoder:
-    """Texts to token ids."""
+    """Texts to token ids.
+
+    Where every space stands alone, a text is looked up by its words: pieces have a space at their beginning only, so no piece goes on
+    over it. The pattern cuts words that are new, and texts with wider spaces.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.pattern = regex.compile(vocabulary.pattern)
-        self.pieces = Pieces(Transducer(vocabulary))
+        self.transducer = Transducer(vocabulary)
+        self.pieces, self.words = Table(self._piece), Table(self._word)
 
-    def encode(self, text: str | None) -> Iterator[int]:
-        text = text or ""
+    def _piece(self, piece: str) -> bytes:
+        ids = self.transducer.encode(piece.encode())
+        return struct.pack(f"<{len(ids)}i", *ids)
+
+    def _word(self, word: str) -> bytes:
+        found = self.pattern.findall(" " + word)
+        if len(found) == 1:
+            return self._piece(found[0])
+        # what stands after the space is a word of its own, if that was cut
+        return b"".join([self.words[p[1:]] if p[0] == " " and len(p) > 1 else self.pieces[p] for p in found])
+
+    def _cut(self, text: str) -> bytes:
         found = self.pattern.findall(text) if len(text) <= LONG else (m[0] for m in self.pattern.finditer(text))
-        return chain.from_iterable(map(self.pieces.__getitem__, found))
+        return b"".join(map(self.pieces.__getitem__, found))
+
+    def encode(self, text: str | None) -> np.ndarray:
+        if not text:
+            return np.empty(0, "<i4")
+        if len(text) > LONG or _WIDE.search(text):
+            return np.frombuffer(self._cut(text), "<i4")
+        first, *words = text.split(" ")
+        return np.frombuffer(self._cut(first) + b"".join(map(self.words.__getitem__, words)), "<i4")
 
 
 #: UTF-8, fixed values: the state after a first byte, and by state the range of the next byte and the state after it.
@@ -218,7 +279,7 @@ class Decoder:
     def __init__(self, tokens: list[bytes]):
         self.tokens = tokens
         self.closed = np.array([self._run(0, t) == 0 for t in tokens])
-        self.known: dict[tuple[int, int], int] = {}
+        self.known: dict[tuple[int, int], int] = {}  # states after tokens, by the state before
         self.state, self.held = 0, b""
 
     @staticmethod
@@ -229,20 +290,34 @@ class Decoder:
                 break
         return state
 
+    def _after(self, state: int, token: int) -> int:
+        after = self.known.get((state, token))
+        if after is None:
+            after = self.known[state, token] = self._run(state, self.tokens[token])
+        return after
+
+    def _whole(self, ids: np.ndarray) -> bool:
+        """Whether the tokens are whole characters; only those that are not so by themselves are walked through."""
+        at, state = -1, 0
+        for odd in np.flatnonzero(~self.closed[ids]).tolist():
+            if odd <= at:
+                continue
+            at, state = odd, self._after(0, int(ids[odd]))
+            while state > 0 and at + 1 < len(ids):
+                at += 1
+                state = self._after(state, int(ids[at]))
+            if state:
+                return False
+        return True
+
     def feed(self, ids: np.ndarray) -> bytes:
         """UTF-8 of the characters that are whole after these tokens."""
         found = list(map(self.tokens.__getitem__, ids.tolist()))
-        if self.state == 0 and self.closed[ids].all():
+        if self.state == 0 and self._whole(ids):
             return b"".join(found)
-        out, start = [], 0
-        odd = np.flatnonzero(~self.closed[ids]) if self.state == 0 else None
-        at = 0 if odd is None else int(odd[0])
+        out, at = [], 0
         while at < len(found):
-            if start < at and self.state == 0:
-                out += found[start:at]
-            after = self.known.get((self.state, int(ids[at])))
-            if after is None:
-                after = self.known[self.state, int(ids[at])] = self._run(self.state, found[at])
+            after = self._after(self.state, int(ids[at]))
             self.held += found[at]
             if after == 0:
                 out.append(self.held)
@@ -252,12 +327,6 @@ class Decoder:
             else:
                 out.append(self._mend())
             at += 1
-            start = at
-            if self.state == 0:
-                rest = np.flatnonzero(~self.closed[ids[at:]])
-                at = at + int(rest[0]) if len(rest) else len(found)
-                out += found[start:at]
-                start = at
         return b"".join(out)
 
     def _mend(self) -> bytes:
@@ -323,7 +392,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id", text
                 return pa.RecordBatch.from_arrays([docs.slice(start, stop - start), lists], names=["doc_id", "ids"])
 
             for i in range(batch.num_rows):
-                ids.append(np.fromiter(encoder.encode(texts[i].as_py()), np.int32))
+                ids.append(encoder.encode(texts[i].as_py()))
                 ends.append(ends[-1] + len(ids[-1]))
                 if ends[-1] >= BATCH:
                     yield out(i + 1)
