@@ -116,11 +116,43 @@ def test_heartbeats_by_position(spark):
     assert as_of == {(g, n): max((x[1] for x in beats if x[0] == g and x[1] <= n), default=None) for g, n, _ in marks}
 
     want = {(g, n, t): min((x[1] for x in beats if x[0] == g and x[1] > n and x[3] >= t), default=None) for g, n, t in marks}
-    for bits, levels in ((2, 3), (3, 2), (8, 4), (4, 1)):
-        got = logs.first_reaching(b, m, bits, levels).collect()
+    for bits in (1, 2, 3, 8):
+        got = logs.first_reaching(b, m, bits).collect()
         assert {(r["log_id"], r["line_no"], r["target_lsn"]): r["reached_line"] for r in got} == want
 
 
+def test_first_reaching_at_the_edges(spark):
+    beats = [("a", 0, 5), ("a", 7, 5), ("a", 8, 9), ("a", 1 << 20, 20), ("b", 3, None)]
+    marks = [("a", -1, 5), ("a", 0, 5), ("a", 7, 5), ("a", 8, 9), ("a", 8, 21), ("a", 1 << 20, 1), ("a", 1 << 40, 1), ("b", 0, 0), ("c", 0, 0), (None, 0, 0), ("a", None, 0), ("a", 0, None), ("a", 0, 5)]
+    b = spark.createDataFrame([(g, n, x) for g, n, x in beats], "log_id string, line_no bigint, applied_lsn bigint")
+    m = spark.createDataFrame(marks, "log_id string, line_no bigint, target_lsn bigint")
+    fits = lambda x, g, n, t: None not in (g, n, t, x[2]) and x[0] == g and x[1] > n and x[2] >= t
+    want = {k: min(((x[1], x[2]) for x in beats if fits(x, *k)), default=(None, None)) for k in marks}
+    for bits in (2, 4, 8, 21):
+        got = logs.first_reaching(b, m, bits).collect()
+        assert len(got) == len(want) and {(r["log_id"], r["line_no"], r["target_lsn"]): (r["reached_line"], r["reached_lsn"]) for r in got} == want
+    assert logs.first_reaching(b.limit(0), m).filter("reached_line IS NOT NULL").count() == 0
+    assert logs.first_reaching(b, m.limit(0)).count() == 0
+
+
+def test_first_reaching_moves_open_marks_only(spark, tmp_path):
+    """Few exchanges, all by log and block; none by a key that is NULL for the marks that are answered."""
+    spark.range(1 << 18).selectExpr("'a' AS log_id", "id AS line_no", "id AS applied_lsn").write.parquet(f"{tmp_path}/b")
+    # a mark in a thousand is answered past its block
+    spark.range(1 << 18).selectExpr("'a' AS log_id", "id AS line_no", "id + if(id % 1000 = 0, 5000, 1) AS target_lsn").write.parquet(f"{tmp_path}/m")
+    df = logs.first_reaching(spark.read.parquet(f"{tmp_path}/b"), spark.read.parquet(f"{tmp_path}/m"))
+    df.filter("reached_line IS NOT NULL").agg(F.sum("reached_line")).collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CASE WHEN" not in "".join(x for x in plan.splitlines() if "hashpartitioning" in x)
+    read = spark.read.parquet(f"{tmp_path}/b")
+    blocks = logs._blocks(read, 8)
+    assert len(blocks) == 3 and [x.count() for x in blocks] == [1024, 4, 1]
+    assert blocks[2].select(F.size("_kids")).first()[0] == 4
+    got = df.selectExpr("count(reached_line)", "sum(reached_line - target_lsn)", "count_if(reached_line IS NULL)").first()
+    late = sum(1 for i in range(1 << 18) if i + (5000 if i % 1000 == 0 else 1) >= 1 << 18)
+    assert tuple(got) == ((1 << 18) - late, 0, late)
+
+
 def test_heartbeats_from_text(spark):
     line = "replication lag 5 bytes, source LSN 105 [0/69], received LSN 100 [0/64], applied LSN 100 [0/64]"
     log = restore(spark, [line, "something else"])

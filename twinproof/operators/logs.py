@@ -6,7 +6,7 @@ A restore log is ``log_id, line_no, line``; progress events are ``run_id, ts, st
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinproof.functions.logtext import (
@@ -135,65 +135,54 @@ def heartbeat_as_of(beats: DataFrame, marks: DataFrame, chunk: int = CHUNK) -> D
 
 
 _BITS = 8
-_LEVELS = 4
 
 
-def first_reaching(beats: DataFrame, marks: DataFrame, bits: int = _BITS, levels: int = _LEVELS) -> DataFrame:
+def _blocks(beats: DataFrame, bits: int) -> list[DataFrame]:
+    """Per level ``log_id, _b, _kids, _max``: blocks of ``2^bits`` members of the level below, lines first, with their highest position.
+
+    There are as many levels as the largest line number has groups of ``bits`` bits, so the last has one block per log. Each is
+    built from the one below it; only the first reads lines.
+    """
+    most = beats.agg(F.max("line_no")).first()[0] or 0
+    levels, members = [], beats.select("log_id", F.col("line_no").alias("pos"), F.col("applied_lsn").alias("top"))
+    for _ in range(max(1, -(-int(most).bit_length() // bits))):
+        kids = F.sort_array(F.collect_list(F.struct("pos", "top"))).alias("_kids")  # 2^bits at most
+        levels.append(members.groupBy("log_id", F.shiftright("pos", bits).alias("_b")).agg(kids, F.max("top").alias("_max")))
+        members = levels[-1].select("log_id", F.col("_b").alias("pos"), F.col("_max").alias("top"))
+    return levels
+
+
+def first_reaching(beats: DataFrame, marks: DataFrame, bits: int = _BITS) -> DataFrame:
     """``log_id, line_no, target_lsn, reached_line, reached_lsn``: the first heartbeat strictly after
     ``line_no`` whose applied position is at least ``target_lsn``; NULL when there is none.
 
-    An inequality join on two columns would pair every mark with every later line. Instead lines
-    are grouped into blocks of ``2^bits``, blocks into larger blocks and so on, each block with the
-    highest position of its members. A mark looks for the first fitting member of its own block,
-    then of the enclosing ones, and walks back down: ``2 * levels - 1`` equi-joins of the marks,
-    each meeting one block row with at most ``2^bits`` members.
+    An inequality join on two columns would pair every mark with every later line. Here lines are in blocks, blocks in larger
+    blocks, each with its highest position. A mark looks for the first fitting member of its own block; only marks that
+    are still open look into the enclosing one. Marks that found a block walk down to the line. Each step is an equi-join with
+    one block of at most ``2^bits`` members, and a mark that is answered takes part in none of those that follow.
+
+    Lines are numbered from 0 or above, each number once in a log; marks may stand before the first or after the last line.
     """
-    marks = marks.select("log_id", "line_no", "target_lsn").distinct()
-    members = [beats.select("log_id", F.col("line_no").alias("pos"), F.col("applied_lsn").alias("top"))]
-    for _ in range(1, levels):
-        up = members[-1].withColumn("pos", F.shiftright("pos", bits))
-        members.append(up.groupBy("log_id", "pos").agg(F.max("top").alias("top")))
-
-    index = []
-    for level, rows in enumerate(members):
-        block_of = F.lit(0).cast("bigint") if level == levels - 1 else F.shiftright("pos", bits)
-        grouped = rows.groupBy("log_id", block_of.alias("_b"))
-        index.append(grouped.agg(F.sort_array(F.collect_list(F.struct("pos", "top"))).alias("_kids")))
-
-    def look(cursor: DataFrame, level: int, block: str, behind: str) -> DataFrame:
-        """First member of ``block`` past ``behind`` that reaches the target, as ``_hit``."""
-        # the same index on the way up and down, so its shuffle is reused
-        found = cursor.join(index[level].withColumnRenamed("_b", block), ["log_id", block], "left")
-        fits = F.filter("_kids", lambda k: (k["pos"] > F.col(behind)) & (k["top"] >= F.col("target_lsn")))
-        return found.withColumn("_hit", F.get(fits, F.lit(0))).drop("_kids", block, behind)
-
-    cursor = marks.withColumn("_pos", F.lit(None).cast("bigint")).withColumn("_top", F.lit(None).cast(beats.schema["applied_lsn"].dataType))
-    cursor = cursor.withColumn("_level", F.lit(None).cast("int"))
-    for level in range(levels):
-        open_ = F.col("_level").isNull()
-        # the last level has one block per log, so that no line is out of reach
-        own = F.lit(0).cast("bigint") if level == levels - 1 else F.shiftright("line_no", bits * (level + 1))
-        cursor = cursor.withColumn("_block", F.when(open_, own)).withColumn("_behind", F.shiftright("line_no", bits * level))
-        cursor = look(cursor, level, "_block", "_behind")
-        hit = open_ & F.col("_hit").isNotNull()
-        cursor = cursor.select(
-            "log_id",
-            "line_no",
-            "target_lsn",
-            F.when(hit, F.col("_hit.pos")).otherwise(F.col("_pos")).alias("_pos"),
-            F.when(hit, F.col("_hit.top")).otherwise(F.col("_top")).alias("_top"),
-            F.when(hit, F.lit(level)).otherwise(F.col("_level")).alias("_level"),
-        )
-    for level in range(levels - 2, -1, -1):
-        down = F.col("_level") > level
-        cursor = cursor.withColumn("_block", F.when(down, F.col("_pos"))).withColumn("_behind", F.lit(-1).cast("bigint"))
-        cursor = look(cursor, level, "_block", "_behind")
-        cursor = cursor.select(
-            "log_id",
-            "line_no",
-            "target_lsn",
-            F.when(down, F.col("_hit.pos")).otherwise(F.col("_pos")).alias("_pos"),
-            F.when(down, F.col("_hit.top")).otherwise(F.col("_top")).alias("_top"),
-            "_level",
-        )
-    return cursor.select("log_id", "line_no", "target_lsn", F.col("_pos").alias("reached_line"), F.col("_top").alias("reached_lsn"))
+    open_ = marks.select("log_id", "line_no", "target_lsn").distinct()
+    levels = _blocks(beats, bits)
+    hits: list[DataFrame] = []
+
+    def look(cursor: DataFrame, level: int, block: Column, behind: Column) -> DataFrame:
+        """First member past ``behind`` that reaches the target, as ``_hit``."""
+        found = cursor.withColumn("_b", block).join(levels[level], ["log_id", "_b"], "left")
+        fits = F.filter("_kids", lambda k: (k["pos"] > behind) & (k["top"] >= F.col("target_lsn")))
+        hit = F.when(F.col("_max") >= F.col("target_lsn"), F.get(fits, F.lit(0))).alias("_hit")
+        return found.select("log_id", "line_no", "target_lsn", hit)
+
+    for level in range(len(levels)):
+        own = F.shiftright(F.greatest("line_no", F.lit(0)), bits * (level + 1))
+        found = look(open_, level, own, F.shiftright("line_no", bits * level))
+        hits.append(found.filter(F.col("_hit").isNotNull()))
+        open_ = found.filter(F.col("_hit").isNull()).drop("_hit")
+    reached = hits.pop()
+    while hits:
+        below = look(reached, len(hits) - 1, F.col("_hit.pos"), F.lit(-1))
+        reached = hits.pop().unionByName(below)
+    none = reached.schema["_hit"].dataType
+    answers = reached.unionByName(open_.withColumn("_hit", F.lit(None).cast(none)))
+    return answers.select("log_id", "line_no", "target_lsn", F.col("_hit.pos").alias("reached_line"), F.col("_hit.top").alias("reached_lsn"))
