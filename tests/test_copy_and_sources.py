@@ -9,7 +9,8 @@ from twinproof.operators.content import content_hash
 from twinproof.operators.logs import stage_timeline
 from twinproof.operators.scope import Scope
 from twinproof.plans import copy as copying
-from twinproof.plans.offline import copy_offline
+from twinproof.plans.offline import Checks, copy_offline, run_offline
+from twinproof.plans.verify import VerifyFailed
 from twinproof.sinks.archive import load_table, parse_compression, write_archive
 from twinproof.sources import generate, snapshot
 from twinproof.sources.logs import read_bad_progress, read_progress, read_restore_log
@@ -103,6 +104,68 @@ def test_resume_at_another_cut_is_refused(spark, tmp_path):
         copying.copy_tables(spark, source, "s", str(tmp_path), cut_lsn=7, resume=True)
 
 
+@pytest.mark.parametrize("moved", [False, True])
+def test_killed_between_move_and_note(spark, tmp_path, monkeypatch, moved):
+    """Nothing is noted yet, but whose rows these are is known: no other cut can be mixed in, and the same one ends as if never killed."""
+    source, target, data = {("app", "a"): spark.range(10).selectExpr("id AS lsn", "id AS k")}, str(tmp_path / "out"), Scope(what="data-only")
+    spark.range(100, 103).selectExpr("id AS lsn", "id AS k").write.parquet(copying.table_path(target, "app", "a"))
+    move = copying.move_files
+
+    def killed(*args):
+        if moved:
+            move(*args)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(copying, "move_files", killed)
+    with pytest.raises(KeyboardInterrupt):
+        copying.copy_tables(spark, source, "s", target, data, cut_lsn=4)
+    monkeypatch.setattr(copying, "move_files", move)
+    assert copying.read_manifest(spark, target).count() == 0
+    for resume in (True, False):
+        with pytest.raises(copying.ResumeRefused):
+            copying.copy_tables(spark, source, "s", target, data, cut_lsn=7, resume=resume)
+    manifest = copying.copy_tables(spark, source, "s", target, data, cut_lsn=4, resume=True)
+    assert [(r["table_name"], r["rows"]) for r in manifest.collect()] == [("a", 5)]
+    read = spark.read.parquet(copying.table_path(target, "app", "a"))
+    assert sorted(r["k"] for r in read.collect()) == [0, 1, 2, 3, 4, 100, 101, 102]
+    # a copy that ended leaves nothing that keeps the next one out
+    copying.copy_tables(spark, source, "s", target, data, cut_lsn=7)
+    assert spark.read.parquet(copying.table_path(target, "app", "a")).count() == 16
+
+
+def test_killed_before_the_first_table(spark, tmp_path, monkeypatch):
+    source, target = {("app", "a"): spark.range(10).withColumnRenamed("id", "lsn")}, str(tmp_path / "out")
+    monkeypatch.setattr(copying, "_copy_one", lambda *args: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        copying.copy_tables(spark, source, "s", target, cut_lsn=4)
+    monkeypatch.undo()
+    with pytest.raises(copying.ResumeRefused):
+        copying.copy_tables(spark, source, "s", target, cut_lsn=7, resume=True)
+    assert copying.copy_tables(spark, source, "s", target, cut_lsn=4, resume=True).select("rows").first()[0] == 5
+
+
+def test_copies_are_verified_at_their_cut(spark, tmp_path):
+    source = {("app", "a"): spark.range(10).selectExpr("id AS lsn", "id AS k"), ("app", "fixed"): spark.range(3).withColumnRenamed("id", "k")}
+    cut = {"cut_lsn": 4, "immutable": [("app", "fixed")]}
+    manifest, report = copy_offline(spark, source, "s", str(tmp_path / "one"), mode="strict", **cut)
+    assert rows(report.select("table_name", "source", "target")) == [("a", 5, 5), ("fixed", 3, 3)]
+    checks = {name: Checks(["k"]) for name in source}
+    for mode in ("strict", "off"):
+        report = run_offline(spark, source, "s", str(tmp_path / mode), checks, mode=mode, **cut)
+        assert rows(report.select("table_name", "source", "target", "broken", "analyzed", "equal")) == [("a", 5, 5, 0, True, True), ("fixed", 3, 3, 0, True, True)]
+    spark.range(9, 10).selectExpr("id AS lsn", "id AS k").write.mode("append").parquet(copying.table_path(str(tmp_path / "one"), "app", "a"))
+    with pytest.raises(VerifyFailed):
+        copy_offline(spark, source, "s", str(tmp_path / "one"), mode="strict", resume=True, **cut)
+
+
+def test_whole_run_with_any_names(spark, tmp_path):
+    names = [("ten.ant", "t"), ("public", "Orders"), ("public", "order's"), ("a__b", "c"), ("a", "b__c")]
+    source = {n: spark.range(i + 2).withColumnRenamed("id", "k") for i, n in enumerate(names)}
+    report = run_offline(spark, source, "s", str(tmp_path), {n: Checks(["k"]) for n in names})
+    got = {(r["schema_name"], r["table_name"]): (r["source"], r["target"], r["broken"], r["analyzed"], r["equal"]) for r in report.collect()}
+    assert got == {n: (i + 2, i + 2, 0, True, True) for i, n in enumerate(names)}
+
+
 def test_offline_copy_is_verified(spark, tmp_path):
     manifest, report = copy_offline(spark, tables(spark), "s", str(tmp_path / "a"), Scope(schemas=["app"]), mode="strict")
     assert manifest.count() == 2 and rows(report) == [("app", "a", 10, 10), ("app", "b", 0, 0)]

@@ -16,15 +16,15 @@ from twinproof.operators.counts import TableMap
 from twinproof.operators.quality import Rule, check_unique, tag_violations
 from twinproof.operators.scope import Scope
 from twinproof.sinks.archive import write_archive
-from twinproof.sinks.files import exists, move_files
+from twinproof.sinks.files import exists, folders, move_files, remove
 from twinproof.sources.snapshot import read_snapshot
 
 MANIFEST_SCHEMA = "fingerprint string, schema_name string, table_name string, state string, rows bigint, finished timestamp"
-DONE = "done"
+STARTED, DONE = "started", "done"
 
 
 class ResumeRefused(RuntimeError):
-    """The copy that is to be resumed was started with another scope or other endpoints."""
+    """What is in the target comes from a copy that was started with another scope, cut or other endpoints."""
 
 
 def fingerprint(source: str, target: str, scope: Scope, cut_lsn: int | None = None) -> str:
@@ -50,8 +50,33 @@ def _manifest_path(target: str) -> str:
     return f"{target}/_manifest"
 
 
+def _staging_path(target: str) -> str:
+    return f"{target}/_staging"
+
+
 def read_manifest(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(_manifest_path(target))
+    """The tables that a copy has noted as done."""
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(_manifest_path(target)).filter(F.col("state") == DONE)
+
+
+def _begin(spark: SparkSession, target: str, mark: str, resume: bool) -> bool:
+    """Store whose copy this is before its first byte is written; True if that copy goes on.
+
+    A copy is known by its mark from then on, whether or not a table was noted, so rows of two cuts never meet: a resumed copy must
+    have the mark that was stored, and a new one finds no rows that another left half way.
+    """
+    path = _manifest_path(target)
+    if resume and exists(spark, path):
+        marks = {r[0] for r in spark.read.schema(MANIFEST_SCHEMA).parquet(path).select("fingerprint").distinct().collect()}
+        if marks != {mark}:
+            raise ResumeRefused("scope, endpoints or cut changed since this copy was started")
+        return True
+    others = [m for m in folders(spark, _staging_path(target)) if m != mark[:16]] if exists(spark, _staging_path(target)) else []
+    if others:
+        raise ResumeRefused("rows of an unfinished copy of another scope or cut are in the target: resume that copy, or remove them")
+    now = datetime.now(timezone.utc)
+    spark.createDataFrame([(mark, None, None, STARTED, None, now)], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+    return False
 
 
 def pending_tables(spark: SparkSession, names: Sequence[tuple[str, str]], manifest: DataFrame) -> DataFrame:
@@ -95,23 +120,19 @@ def copy_tables(
     ``jobs`` tables are written at a time; each write is spread over the cluster, so one large table
     does not hold the others up. With ``resume``, tables already done are left alone. An unfinished
     table is written again from the start, in place of what it left behind. A table that fails does not stop
-    the others: all that end well are noted before its error is raised.
+    the others: all that end well are noted before its error is raised. What the target holds of another copy is refused.
     """
     scope = scope or Scope()
     mark = fingerprint(source, target, scope, cut_lsn)
     kept = read_snapshot(tables, scope, cut_lsn, immutable)
     names = list(kept)
-    if resume and exists(spark, _manifest_path(target)):
-        manifest = read_manifest(spark, target)
-        if not manifest.filter(F.col("fingerprint") != mark).isEmpty():
-            raise ResumeRefused("scope, endpoints or cut changed since this copy was started")
+    if _begin(spark, target, mark, resume):
         # one row per table of the copy
-        names = [(r["schema_name"], r["table_name"]) for r in pending_tables(spark, names, manifest).collect()]
-    else:
-        spark.createDataFrame([], MANIFEST_SCHEMA).write.mode("overwrite").parquet(_manifest_path(target))
+        names = [(r["schema_name"], r["table_name"]) for r in pending_tables(spark, names, read_manifest(spark, target)).collect()]
+    staging = f"{_staging_path(target)}/{mark[:16]}"
 
     def run(name: tuple[str, str]) -> int:
-        return _copy_one(kept[name], table_path(target, *name), scope.what, compress, mark[:16], f"{target}/_staging/{mark[:16]}/{name[0]}/{name[1]}")
+        return _copy_one(kept[name], table_path(target, *name), scope.what, compress, mark[:16], f"{staging}/{name[0]}/{name[1]}")
 
     failed: list[BaseException] = []
     with ThreadPoolExecutor(max(jobs, 1)) as pool:
@@ -127,6 +148,7 @@ def copy_tables(
             waiting = {f: n for f, n in waiting.items() if f not in ended}
     if failed:
         raise failed[0]
+    remove(spark, staging)
     return read_manifest(spark, target)
 
 
