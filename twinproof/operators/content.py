@@ -15,9 +15,9 @@ MAX_BUCKETS = 1 << 16
 
 
 def bucket_of(df: DataFrame, keys: list[str], buckets: int) -> Column:
-    """Bucket of a row: the key itself modulo ``buckets`` when it is one integer, its hash otherwise."""
+    """Bucket of a row: the key itself modulo ``buckets`` when it is one integer, its hash otherwise. Never NULL: a NULL integer is in bucket 0."""
     if len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return F.pmod(F.col(keys[0]).cast("bigint"), F.lit(buckets)).cast("int")
+        return F.coalesce(F.pmod(F.col(keys[0]).cast("bigint"), F.lit(buckets)).cast("int"), F.lit(0))
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 

@@ -14,6 +14,7 @@ from twinproof.functions import logtext
 from twinproof.functions.lsn import format_lsn, parse_lsn
 from twinproof.operators import catalog, changes, content, counts, lag, logs, maintain, marks, quality, scope, stats
 from twinproof.plans import copy as copying
+from twinproof.plans import digest_tree
 from twinproof.plans.offline import Checks, digests, run_offline
 from twinproof.plans.online import copy_online
 from twinproof.session import work_dir
@@ -281,6 +282,47 @@ def locate_drift(spark, sf):
     return _union(parts)
 
 
+@query(
+    " UNION ALL ".join(
+        [
+            _drift_sql("orders", "orders", d.TARGET_ORDERS, "o_orderkey", _ORDERS),
+            _drift_sql("customer", "customer", d.TARGET_CUSTOMER, "c_custkey", _CUSTOMER),
+            _drift_sql("documents", "documents", "documents", "doc_id", _DOCUMENTS),
+        ]
+    )
+)
+def drift_by_tree(spark, sf):
+    """The keys that differ, found by descending the digest trees of both sides."""
+    parts = []
+    for name, key, cols, source, target in _pairs(spark, sf):
+        root = work_dir(spark, "digest-tree")
+        here, there = (digest_tree.DigestTree(f"{root}/{side}", [key], cols) for side in ("source", "target"))
+        here.build(source)
+        there.build(target)
+        drift = digest_tree.drift_by_tree(here, there, here.rows(spark), there.rows(spark))
+        parts.append(drift.select(F.lit(name).alias("table_name"), F.col(key).alias("key_value"), "source_rows", "target_rows", "status"))
+    return _union(parts)
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, n, {_DIGEST} AS digest FROM ({_lane_sums(target, cols, "1")})"""
+        for name, target, cols in (("orders", d.TARGET_ORDERS, _ORDERS), ("customer", d.TARGET_CUSTOMER, _CUSTOMER))
+    )
+)
+def incremental_digest(spark, sf):
+    """Digests of the sources, brought to those of the targets by the rows that changed alone."""
+    parts = []
+    for name, key, cols, source, target in _pairs(spark, sf):
+        if name == "documents":  # no row of it changes
+            continue
+        tree = digest_tree.DigestTree(work_dir(spark, "digest-tree"), [key], cols, portable=True)
+        tree.build(source)
+        tree.update(0, source.select(*cols).exceptAll(target.select(*cols)), target.select(*cols).exceptAll(source.select(*cols)))
+        parts.append(tree.digest(spark).select(F.lit(name).alias("table_name"), "n", "digest"))
+    return _union(parts)
+
+
 @query(
     " UNION ALL ".join(
         f"""SELECT '{name}' AS table_name, s.d AS source_digest, t.d AS target_digest, coalesce(s.d = t.d, false) AS converged
