@@ -65,3 +65,17 @@ def test_sample_and_order_change_nothing(spark, monkeypatch):
 
 def test_stage_over_no_rows(spark):
     assert corpus_pipeline.near_copies(spark, spark.createDataFrame([], "doc_id long, text string"), "").count() == 0
+
+
+def test_parity_maps_lose_no_pair():
+    import numpy as np
+
+    rnd = random.Random(2)
+    for n in (1, 2, 31, 33, 120, 700):
+        for edits in (0, 1, n // 9, n // 3):
+            a = np.unique(np.array([rnd.getrandbits(63) for _ in range(n)], np.int64))
+            b = np.unique(np.concatenate([a[edits:], np.array([rnd.getrandbits(63) for _ in range(rnd.randrange(edits + 1))], np.int64)]))
+            x, y = sorted((shingles.parity(a), shingles.parity(b)), key=len)
+            while len(y) > len(x):
+                y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+            assert sum(int(w).bit_count() for w in (x ^ y).view(np.uint64)) <= len(set(a.tolist()) ^ set(b.tolist()))
