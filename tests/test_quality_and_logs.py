@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from twinproof.operators import catalog, logs, quality, stats
+from twinproof.operators import catalog, logs, marks, quality, sketches, stats
 from twinproof.sinks.archive import write_split
 
 
@@ -159,6 +159,72 @@ def test_heartbeats_from_text(spark):
     assert [(r["line_no"], int(r["source_lsn"]), int(r["applied_lsn"])) for r in logs.heartbeats(log).collect()] == [(0, 105, 100)]
 
 
+def test_common_and_missing_keys_are_spread(spark):
+    """A third of the rows has one valid key, a third a repeated and unknown one, a sixth none; no task of the joins gets them all."""
+    n = 60000
+    key = "CASE WHEN id % 6 < 2 THEN 1 WHEN id % 6 < 4 THEN 2 WHEN id % 6 = 4 THEN NULL ELSE id END"
+    df = spark.range(n).selectExpr("id", f"{key} AS k")
+    parent = spark.createDataFrame([(1,)], "k bigint").unionByName(spark.range(n).selectExpr("id AS k").filter("k % 4 = 1"))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        tagged = quality.tag_violations(df, unique=[["k"]], foreign=[(parent, [("k", "k")])])
+        # the names are read too, or the joins would be left out
+        sizes = [r["n"] for r in tagged.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.max(F.size("violations"))).collect()]
+        got = {(r["kind"], *r["violations"]): r["n"] for r in tagged.groupBy(F.expr("CASE WHEN k IS NULL THEN 0 WHEN k < 3 THEN k ELSE 3 END AS kind"), "violations").agg(F.count(F.lit(1)).alias("n")).collect()}
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert len(sizes) == 8 and sum(sizes) == n and max(sizes) < n / 4
+    assert got == {(0,): n // 6, (1, "unique:k"): n // 3, (2, "unique:k", "foreign-key:k"): n // 3, (3,): n // 12, (3, "foreign-key:k"): n // 12}
+
+
+def test_one_shuffle_for_all_tables(spark):
+    tables = {("s", f"t{i}"): spark.range(i).selectExpr("id", "repeat('x', cast(id as int)) AS t") for i in range(6)}
+    for df in (marks.max_key(tables, dict.fromkeys(tables, "id")), stats.db_size(tables)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(_at") <= 2  # the tables' rows, and the short list of names
+    assert [r["last_value"] for r in marks.max_key(tables, dict.fromkeys(tables, "id")).orderBy("name").collect()] == [None, 0, 1, 2, 3, 4]
+    assert {r["table_name"]: r["rows"] for r in stats.db_size(tables).collect() if r["table_name"]} == {f"t{i}": i for i in range(6)}
+
+
+def test_exact_distinct_without_expand(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 0.0, [1, 2], None), (1, "A", -0.0, [1, 2], None), (2, None, float("nan"), [2, 1], None), (None, "a", float("nan"), None, None)],
+        "k bigint, t string, d double, a array<int>, n string",
+    )
+    got = {r["column_name"]: r["ndv"] for r in stats.distinct_counts(df).collect()}
+    assert got == {"k": 2, "t": 2, "d": 2, "a": 2, "n": 0}
+    plan = stats.table_stats(df, ["k", "t"], exact=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+
+
+def test_profiles_of_parts_add_up(spark, tmp_path):
+    df = spark.range(20000).selectExpr(
+        "id", "cast(id % 700 as int) AS few", "concat('t', id % 5000) AS text", "IF(id % 3 = 0, NULL, id / 7.0) AS d", "date_add(DATE '2024-01-01', cast(id % 90 as int)) AS day",
+        "array(cast(id % 10 as int)) AS a", "cast(NULL AS string) AS nothing",
+    )
+    path = str(tmp_path / "profile")
+    parts = [df.filter("id < 1500"), df.filter("id >= 1500 AND id < 9000"), df.filter("id >= 9000"), df.filter("false")]
+    for i, part in enumerate(parts):
+        sketches.store(part, path, f"p{i}")
+    sketches.store(parts[1], path, "p1")  # again: no double
+    got = {r["column_name"]: r for r in sketches.stored(spark, path, df.schema).collect()}
+    for r in stats.table_stats(df, [c for c in df.columns if c != "a"], exact=True).collect():
+        have = got[r["column_name"]]
+        for c in ("rows", "nulls", "min_value", "max_value", "max_width"):
+            assert have[c] == r[c], (r["column_name"], c)
+        assert abs(have["ndv"] - r["ndv"]) <= 0.06 * r["ndv"]
+        assert have["avg_width"] == pytest.approx(r["avg_width"])
+    assert got["a"]["ndv"] == 10 and got["nothing"]["ndv"] == 0 and got["text"]["quantiles"] is None
+    assert [abs(q - 20000 * p) < 20000 * 0.03 for q, p in zip(got["id"]["quantiles"], sketches.QUANTILES)] == [True] * 3
+    # a top-up reads its own rows only
+    files = sketches.stored(spark, path, df.schema).inputFiles()
+    assert files and all(f"{path}/part=" in f for f in files)
+
+
 def test_stats(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (2, "ccc")], "k bigint, t string")
     for exact in (True, False):

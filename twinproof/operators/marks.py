@@ -15,14 +15,12 @@ NAME = ["schema_name", "name"]
 
 def max_key(tables: TableMap, keys: dict[tuple[str, str], str]) -> DataFrame:
     """``schema_name, name, last_value``: highest key of every table, NULL for an empty one."""
-    parts = [
-        df.agg(F.max(keys[name]).cast("bigint").alias("last_value")).select(
-            F.lit(name[0]).alias("schema_name"), F.lit(name[1]).alias("name"), "last_value"
-        )
-        for name, df in tables.items()
-        if name in keys
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    names = [name for name in tables if name in keys]
+    # one shuffle for all: a task sends one row per table it read
+    tagged = [tables[name].select(F.lit(i).alias("_at"), F.col(keys[name]).cast("bigint").alias("_key")) for i, name in enumerate(names)]
+    top = reduce(DataFrame.unionByName, tagged).groupBy("_at").agg(F.max("_key").alias("last_value"))
+    listed = top.sparkSession.createDataFrame([(i, *n) for i, n in enumerate(names)], "_at int, schema_name string, name string")
+    return listed.join(top, "_at", "left").select(*NAME, "last_value")
 
 
 def marks_in_scope(marks: DataFrame, scope: Scope) -> DataFrame:

@@ -93,6 +93,28 @@ def check_foreign_key(child: DataFrame, parent: DataFrame, on: Sequence[tuple[st
 KeyPairs = Sequence[tuple[str, str]]
 
 
+#: Keys that are looked up apart. A key with more than one in so many rows is always among them.
+COMMONEST = 256
+
+
+def _tagged(df: DataFrame, keys: list[str], bad: DataFrame, tag: str) -> DataFrame:
+    """The rows plus ``tag``, true where the row's key is one of ``bad``.
+
+    Rows with the commonest keys get their answer from a list of ``COMMONEST`` entries, which is broadcast; rows with a NULL in the key have
+    theirs. Both then pass the join with the other keys under a salt that matches nothing, so no key holds them together.
+    """
+    present = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    counted = df.filter(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    first = counted.orderBy(F.desc("_n"), *keys).limit(COMMONEST).select(*keys)
+    answers = first.join(bad.select(*keys, F.lit(True).alias("_is")), keys, "left").select(*keys, F.coalesce("_is", F.lit(False)).alias("_common"))
+    rows = df.join(F.broadcast(answers), keys, "left")
+    salt = F.when(present & F.col("_common").isNull(), F.lit(0)).otherwise(F.monotonically_increasing_id() % 1023 + 1)
+    # always 0, but no constant: the optimizer would turn that into a filter and join by the key alone
+    rest = bad.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(1)).cast("bigint").alias("_salt"), F.lit(True).alias("_rare"))
+    joined = rows.withColumn("_salt", salt.cast("bigint")).join(rest, [*keys, "_salt"], "left")
+    return joined.select(*df.columns, F.coalesce("_common", "_rare", F.lit(False)).alias(tag))
+
+
 def _flagged(
     df: DataFrame, rules: Sequence[Rule], unique: Sequence[list[str]], foreign: Sequence[tuple[DataFrame, KeyPairs]]
 ) -> tuple[DataFrame, list[tuple[str, Column]]]:
@@ -106,8 +128,8 @@ def _flagged(
         offenders.append((f"foreign-key:{','.join(child_keys)}", child_keys, check_foreign_key(df, parent, on)))
     conditions = [(r.name, F.coalesce(r.violated, F.lit(False))) for r in rules]
     for i, (name, keys, bad) in enumerate(offenders):
-        df = df.join(bad.select(*keys, F.lit(True).alias(f"_bad{i}")), keys, "left")
-        conditions.append((name, F.col(f"_bad{i}").isNotNull()))
+        df = _tagged(df, keys, bad, f"_bad{i}")
+        conditions.append((name, F.col(f"_bad{i}")))
     return df, conditions
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 from pyspark.errors import PySparkException, StreamingQueryException
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from twinproof.functions import logtext
 from twinproof.functions.lsn import format_lsn, parse_lsn
-from twinproof.operators import catalog, changes, content, counts, lag, logs, maintain, marks, quality, scope, stats
+from twinproof.operators import catalog, changes, content, counts, lag, logs, maintain, marks, quality, scope, sketches, stats
 from twinproof.plans import copy as copying
 from twinproof.plans import digest_tree
 from twinproof.plans.offline import Checks, digests, run_offline
@@ -1043,13 +1044,58 @@ def table_stats_approx(spark, sf):
     return _union(parts)
 
 
+_PROFILED = {
+    **{t: list(cols) for t, cols in _WIDTHS.items() if t != "lineitem"},
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "lineitem": [
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus", "l_shipdate",
+    ],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "embeddings": ["vec_id", "embedding", "label"], "pages": ["page_id", "url", "html"],
+    "benchmark": ["item_id", "text"], "labels": ["doc_id", "quality", "toxic"],
+}
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS rows, count(*) FILTER ({c} IS NULL) AS nulls, count(DISTINCT {c}) AS ndv,
+        true AS ndv_close, true AS same_extremes FROM {t}"""
+        for t, cols in _PROFILED.items()
+        for c in cols
+    )
+)
+def table_profiles(spark, sf):
+    """Stored profiles of all tables, a part of each profiled first and the rest later; held against one pass over the whole and exact counts."""
+    root, schemas, whole, parts = work_dir(spark, "profiles"), {}, [], []
+    for t, cols in _PROFILED.items():
+        df = d.load(spark, sf, t).select(*cols)
+        schemas[t], late = df.schema, F.pmod(F.xxhash64(cols[0]), F.lit(3)) == 0
+        parts += [(df.filter(~late), f"{root}/{t}", "first"), (df.filter(late), f"{root}/{t}", "top-up")]
+        flat = [c for c in cols if c != "embedding"]
+        ends = [F.struct(F.lit(c).alias("column_name"), F.min(c).cast("string").alias("low"), F.max(c).cast("string").alias("high")) for c in flat]
+        extremes = df.agg(*[e.alias(f"_{i}") for i, e in enumerate(ends)]).select(F.explode(F.array(*[F.col(f"_{i}") for i in range(len(ends))])).alias("e"))
+        exact = stats.distinct_counts(df).withColumnRenamed("ndv", "exact").join(extremes.select("e.*"), "column_name", "left")
+        whole.append(exact.select(F.lit(t).alias("table_name"), "*"))
+    with ThreadPoolExecutor(8) as pool:  # tables are small jobs side by side
+        list(pool.map(lambda part: sketches.store(*part), parts))
+    both = sketches.stored_tables(spark, root, schemas).join(_union(whole), ["table_name", "column_name"])
+    close = (F.abs(F.col("ndv") - F.col("exact")) <= F.greatest(F.col("exact") * 0.1, F.lit(1))).alias("ndv_close")
+    same = (F.col("min_value").eqNullSafe(F.col("low")) & F.col("max_value").eqNullSafe(F.col("high"))).alias("same_extremes")
+    return both.select("table_name", "column_name", "rows", "nulls", F.col("exact").alias("ndv"), close, same)
+
+
+# bytes of the columns of fixed width, and the text columns
 _SIZES = {
     "region": ("4", ["r_name"]), "nation": ("8", ["n_name"]), "customer": ("20", ["c_name", "c_mktsegment"]),
-    "orders": ("32", ["o_orderstatus", "o_orderpriority"]), "events": ("32", ["event_type", "props"]),
-    "documents": ("16", ["text", "lang", "source"]), "conversations": ("16", ["role", "text"]),
+    "supplier": ("20", ["s_name"]), "part": ("20", ["p_name", "p_brand", "p_type"]),
+    "orders": ("32", ["o_orderstatus", "o_orderpriority"]), "lineitem": ("68", ["l_returnflag", "l_linestatus"]),
+    "events": ("32", ["event_type", "props"]), "documents": ("16", ["text", "lang", "source"]),
+    "embeddings": ("12 + 4 * len(embedding)", []), "pages": ("8", ["url", "html"]), "benchmark": ("8", ["text"]),
+    "labels": ("16", []), "conversations": ("16", ["role", "text"]),
 }
 _SIZE_ROWS = " UNION ALL ".join(
-    f"SELECT 'public' AS schema_name, '{t}' AS table_name, count(*) AS rows, CAST(sum({fixed} + {' + '.join(f'coalesce(strlen({c}), 0)' for c in text)}) AS BIGINT) AS bytes FROM {t}"
+    f"SELECT 'public' AS schema_name, '{t}' AS table_name, count(*) AS rows, CAST(sum({' + '.join([fixed, *(f'coalesce(strlen({c}), 0)' for c in text)])}) AS BIGINT) AS bytes FROM {t}"
     for t, (fixed, text) in _SIZES.items()
 )
 
