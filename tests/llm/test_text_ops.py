@@ -262,6 +262,22 @@ def test_toxicity(spark, docs, empty, labels):
     assert toxicity.score(docs, toxicity.learn(docs, labels.limit(0))).select("score").distinct().count() == 1
 
 
+def test_toxicity_hits_are_those_of_a_plain_scan():
+    rnd = random.Random(6)
+    for _ in range(300):
+        words = ["".join(rnd.choice("ab") for _ in range(rnd.randint(1, 6))) for _ in range(12)]
+        weights = {(" " + rnd.choice(words))[: rnd.randint(3, 7)] + rnd.choice(["", " "]): rnd.choice([0.5, 1.0, 2.0]) for _ in range(6)}
+        phrases = tuple({f" {rnd.choice(words)} {rnd.choice(words)} " for _ in range(3)} - set(weights))
+        text = toxicity.fold(" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 30))))
+        want = []
+        for i in range(len(text)):
+            found = [w for p, w in weights.items() if text.startswith(p, i)]
+            inside = any(text.startswith(p, j) and j + len(p) - 1 > i for p in phrases for j in range(i + 1))
+            if found and not inside:
+                want.append((i, max(found)))
+        assert [(start, w) for start, _, w in toxicity.hits(text, toxicity.Lexicon(weights, phrases).automaton())] == want
+
+
 def test_held_out_labels_are_not_used(spark, docs, labels):
     from zlib import crc32
 

@@ -32,7 +32,7 @@ from pyspark.sql.types import DoubleType
 
 from twinproof.llm.tables import content_address, held_out, written
 
-LABELLED, LEXICON, EXCEPTIONS = 20_000, 4_000, 1_000
+LABELLED = 20_000
 
 #: Letters of other scripts that look like Latin ones.
 HOMOGLYPHS = dict(zip("аеорсухіјѕԁһԛԝкмтвнгп", "aeopcyxijsdhqwkmtbhrn")) | dict(zip("αβεικνορτυχγηω", "abeiknoptuxynw")) | {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "ı": "i", "ł": "l"}
@@ -153,8 +153,8 @@ def _log_odds(t, c, n_t: float, n_c: float):
 SUSPECT, SURE = (0.5, 6.0), (1.0, 18.0)
 
 
-def _weights(spots: DataFrame, n_toxic: int, n_clean: int, most: int, least: tuple[float, float] = SURE) -> dict[str, float]:
-    """The patterns with the strongest evidence, at least three witnesses each."""
+def _weights(spots: DataFrame, n_toxic: int, n_clean: int, least: tuple[float, float] = SURE) -> dict[str, float]:
+    """All patterns with enough evidence, at least three witnesses each. The labelled rows bound their number."""
     seen = spots.distinct().groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
     begins = F.transform(F.sequence(F.lit(4), F.lit(9)), lambda k: F.concat(F.lit(" "), F.substring("word", F.lit(1), k)))
     longer = F.filter(begins, lambda p: F.length(p) <= F.length("word"))
@@ -166,10 +166,10 @@ def _weights(spots: DataFrame, n_toxic: int, n_clean: int, most: int, least: tup
     g = 2 * (part(F.col("t"), share) + part(F.col("c"), 1 - share))
     weight = _log_odds(F.col("t"), F.col("c"), n_toxic, n_clean)
     chosen = counts.select("pattern", weight.alias("w"), g.alias("g"), "t").where((F.col("t") >= 3) & (F.col("w") > least[0]) & (F.col("g") > least[1]))
-    return {r.pattern: r.w for r in chosen.orderBy(F.desc("g"), "pattern").limit(most).collect()}
+    return {r.pattern: r.w for r in chosen.orderBy(F.desc("g"), "pattern").collect()}
 
 
-def _exceptions(rows: DataFrame, lexicon: Lexicon, most: int) -> tuple[str, ...]:
+def _exceptions(rows: DataFrame, lexicon: Lexicon) -> tuple[str, ...]:
     """Pairs of a hit word and a neighbour that clean texts have in three different surroundings, and toxic ones never.
 
     A pair must make up a tenth of the word's places in clean texts: what excuses a word is the usual way to use it.
@@ -198,7 +198,7 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon, most: int) -> tuple[str, ...]
     counts = seen.groupBy("word", "phrase").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
     words = counts.groupBy("word").agg(F.sum("c").alias("all"))
     counts = counts.join(words, "word").where("t = 0 AND c >= 3 AND 20 * c >= all")  # two pairs a place
-    return tuple(r.phrase for r in counts.orderBy(F.desc("c"), "phrase").limit(most).collect())
+    return tuple(r.phrase for r in counts.orderBy(F.desc("c"), "phrase").collect())
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", labelled: int = LABELLED) -> Lexicon:
@@ -217,10 +217,10 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     flat = math.log((n.get(1, 0) + 0.5) / (n.get(0, 0) + 0.5))
     if not base.get(1) or not base.get(0):
         return Lexicon(curve=(flat, 0.0, 0.0))
-    suspects = Lexicon(_weights(_spots(rows.where(~fit)), base[1], base[0], LEXICON, SUSPECT))
-    excused = _exceptions(rows.where(~fit), suspects, EXCEPTIONS)
+    suspects = Lexicon(_weights(_spots(rows.where(~fit)), base[1], base[0], SUSPECT))
+    excused = _exceptions(rows.where(~fit), suspects)
     # what a word weighs where nothing excuses it
-    lexicon = Lexicon(_weights(_spots(rows.where(~fit), frozenset(excused)), base[1], base[0], LEXICON), excused)
+    lexicon = Lexicon(_weights(_spots(rows.where(~fit), frozenset(excused)), base[1], base[0]), excused)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         automaton = lexicon.automaton()
