@@ -313,3 +313,98 @@ def test_one_stream_into_many_tables(spark, tmp_path):
         run()
     assert got["b"] == {r["id"]: (r["name"], r["qty"]) for r in targets["app", "b"].read(spark).collect()}
     assert UnfitImage.__doc__
+
+
+def files_read(spark, df):
+    """Files that the scans of a query opened."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df.collect()
+        leaves, total = df._jdf.queryExecution().executedPlan().collectLeaves(), 0
+        for i in range(leaves.size()):
+            found = leaves.apply(i).metrics().get("numFiles")
+            total += found.get().value() if found.isDefined() else 0
+        return total
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_batch_reads_its_buckets_only(spark, tmp_path):
+    schema = table(spark, START).schema
+    target = KeyedTable(f"{tmp_path}/t", ["id"], schema, buckets=16)
+    wide = spark.range(400).select(F.col("id").cast("string").alias("id"), F.lit("x").alias("name"), F.lit("1").alias("qty"))
+    target.create(wide.select(*[F.col(f.name).cast(f.dataType) for f in schema]), c.cut_position(log(spark, []), 99))
+    put_delta = lambda records, i: target.put_batch(c.changes_as_delta(log(spark, records), ["id"], schema.names), i)
+    for i in range(3):
+        put_delta([(200 + i, k, "U", str(k), i) for k in range(300)], i)
+    one = log(spark, [(300, 0, "U", "7", 9)]).select("key.*")
+    few, before = files_read(spark, target.state_of(one)), files_read(spark, target.state(spark))
+    assert few * 8 <= before and target.state_of(one).filter("id = '7'").count() == 1
+    for i in range(3, 6):  # batches of one other bucket each: nothing more is opened for this key
+        other = next(k for k in range(300) if target.buckets_of(log(spark, [(1, 0, "U", str(k), 0)]).select("key.*")) != target.buckets_of(one))
+        put_delta([(200 + i, 0, "U", str(other), i)], i)
+    assert files_read(spark, target.state_of(one)) == few
+    assert files_read(spark, target.state_of(one.limit(0))) == 0
+
+
+def test_a_batch_is_seen_whole_or_not_at_all(spark, tmp_path):
+    import os
+
+    target = start(spark, tmp_path)
+    delta = c.changes_as_delta(log(spark, [(200, i, "U", str(i), 7) for i in range(8)]), ["id"], ["id", "name", "qty"])
+    target.put_batch(delta, 0, run="r")
+    mark = f"{tmp_path}/target/delta/_run=r/_batch=0/_SUCCESS"
+    os.remove(mark)  # as after a kill before the job's end
+    assert rows(target.read(spark)) == replay(START, []) and target.compact(spark) == [] and target.last_position(spark) is None
+    target.put_batch(delta, 0, run="r")
+    assert rows(target.read(spark)) == replay(START, [(200, i, "U", str(i), 7) for i in range(8)])
+    with pytest.raises(LostBatch):
+        target.put_batch(c.changes_as_delta(log(spark, [(201, 0, "U", "3", 8)]), ["id"], ["id", "name", "qty"]), 0, run="r")
+
+
+def test_online_copy_of_tables_folds_cleans_up_and_compares_at_its_position(spark, tmp_path):
+    import os
+
+    from twinproof.plans.online import copy_online_tables
+    from twinproof.streaming.apply_tables import RECORD, folder_of
+
+    names = [("a.b", "c"), ("a", "b.c"), ("a", "Empty")]
+    assert len({folder_of(n).lower() for n in [*names, ("a", "empty"), ("..", "x"), ("a-2e-b", "c")]}) == 6
+    first = table(spark, START)
+    snapshot = {n: first if n[1] != "Empty" else first.limit(0) for n in names}
+    sent = []
+
+    def send(*changes):
+        sent.extend(changes)
+        data = [(lsn, 0, *names[i], op, image) for lsn, i, op, image in changes]
+        made = spark.createDataFrame(data, RECORD.replace("decimal(20,0)", "long")).withColumn("lsn", F.col("lsn").cast("decimal(20,0)"))
+        made.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def want(i, position):
+        had = {r["id"]: (r["name"], r["qty"]) for r in snapshot[names[i]].collect()}
+        for lsn, at, op, image in sent:
+            if at == i and lsn <= position:
+                had[image.split('"')[3]] = ("x", str(lsn))
+        return had
+
+    def source_at(position):
+        return {n: spark.createDataFrame([(k, *v) for k, v in want(i, position).items()], first.schema) for i, n in enumerate(names)}
+
+    targets = {n: KeyedTable(f"{tmp_path}/t{i}", ["id"], first.schema, 2) for i, n in enumerate(names)}
+    row = '{"id": "%s", "name": "x", "qty": "%s"}'
+
+    def run(source=source_at):
+        stream = spark.readStream.schema(RECORD).parquet(f"{tmp_path}/in")
+        return copy_online_tables(snapshot, stream, targets, f"{tmp_path}/cp", f"{tmp_path}/work", cut_lsn=99, source_at=source, fold_every=2)
+
+    for i in range(3):
+        send((110 + i, 0, "U", row % ("3", 110 + i)), (110 + i, 1, "I", row % (f"n{i}", 110 + i)))
+        assert run().position == 110 + i
+        assert os.listdir(f"{tmp_path}/work/staged") == [f"batch={i}"]
+    for i, (n, t) in enumerate(targets.items()):
+        assert {r["id"]: (r["name"], r["qty"]) for r in t.read(spark).collect()} == want(i, 200)
+        assert sum(map(len, t.open_batches(spark).values())) == (1 if i < 2 else 0)
+    with pytest.raises(NotConverged, match="a.b.c differ"):
+        run(lambda position: {**source_at(position), names[0]: first})
+    with pytest.raises(TargetMismatch):
+        copy_online_tables(snapshot, spark.readStream.schema(RECORD).parquet(f"{tmp_path}/in"), targets, f"{tmp_path}/cp9", f"{tmp_path}/w9", cut_lsn=98, source_at=source_at)

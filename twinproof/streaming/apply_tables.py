@@ -5,17 +5,18 @@ A record is ``lsn, seq, schema_name, table_name, op, image``: the image is the r
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from twinproof.functions.lsn import sortable_position
-from twinproof.operators.changes import POSITION, after, find_apply_conflicts, last_by_position, unknown_tables
+from twinproof.operators.changes import POSITION, after, find_apply_conflicts, last_by_position, live_rows, unknown_tables
 from twinproof.operators.scope import Scope, filter_changes
-from twinproof.sinks.files import exists
+from twinproof.sinks.files import exists, folders, remove
 from twinproof.streaming.target import KeyedTable
 
 Name = tuple[str, str]
@@ -26,6 +27,12 @@ class UnfitImage(RuntimeError):
     """A change whose image is not a row of its table."""
 
 
+def folder_of(name: Name) -> str:
+    """A table's own folder name, of small letters, digits, ``_`` and ``-`` on any file system."""
+    schema, table = (re.sub("[^a-z0-9_]", lambda m: f"-{ord(m[0]):x}-", part) for part in name)
+    return f"{schema}/{table}"
+
+
 def _image(table: KeyedTable) -> Column:
     return F.from_json("image", table.schema.simpleString(), {"mode": "PERMISSIVE"})
 
@@ -72,42 +79,63 @@ class Reports:
 
 
 def _conflicts(part: DataFrame, table: KeyedTable, name: Name) -> DataFrame:
-    spark = part.sparkSession
     keyed = part.select("lsn", "seq", "schema_name", "table_name", "op", F.struct(*[_image(table)[k].alias(k) for k in table.keys]).alias("key"))
-    found = find_apply_conflicts(table.read(spark).select(*table.keys), keyed, table.keys)
+    inserted = keyed.filter(F.col("op") == "I").select("key.*")
+    found = find_apply_conflicts(live_rows(table.state_of(inserted)).select(*table.keys), keyed, table.keys)
     return found.agg(F.count("*").alias("inserts")).select(F.lit(name[0]).alias("schema_name"), F.lit(name[1]).alias("table_name"), "inserts")
 
 
 def apply_tables(
-    changes: DataFrame, tables: dict[Name, KeyedTable], checkpoint: str, work: str, *, cut_lsn: int, scope: Scope | None = None, trigger: dict | None = None
+    changes: DataFrame,
+    tables: dict[Name, KeyedTable],
+    checkpoint: str,
+    work: str,
+    *,
+    cut_lsn: int,
+    scope: Scope | None = None,
+    trigger: dict | None = None,
+    fold_every: int = 0,
+    at_once: int = 8,
 ) -> StreamingQuery:
     """Apply one stream of changes to all ``tables``, restartable from its checkpoint.
 
-    A micro-batch is written once, partitioned by table, and each table merges its own partition; the stream is
-    read once whatever the number of tables. Every step puts its output in place of what it left before, so a batch that
-    broke off is done again. An image that does not fit its table stops the stream before any of its table is merged.
+    A micro-batch is written once, partitioned by table, and each table merges its own partition, ``at_once`` of them
+    side by side; the stream is read once whatever the number of tables. Every step puts its output in place of what it left
+    before, so a batch that broke off is done again. An image that does not fit its table stops the stream before any table
+    takes the batch. The staged batch goes when the next one begins; a table is compacted as soon as ``fold_every`` batches
+    are open in it, so a long run lists few files. Of the tables only buckets are read that hold keys of the batch.
     """
     spark = changes.sparkSession
-    runs = {name: table.bind(spark, f"{checkpoint}/{name[0]}.{name[1]}") for name, table in tables.items()}
+    runs = {name: table.bind(spark, f"{checkpoint}/tables/{folder_of(name)}") for name, table in tables.items()}
     known = spark.createDataFrame(list(tables), "schema_name string, table_name string")
     changes = after(filter_changes(changes, scope) if scope else changes, cut_lsn)
 
+    def check(name: Name, part: DataFrame) -> None:
+        if (bad := unfit(part, tables[name]).select("lsn", "seq", "image").first()) is not None:
+            raise UnfitImage(f"{'.'.join(name)}: change {bad['lsn']}/{bad['seq']} does not fit: {bad['image']}")
+
+    def take(name: Name, part: DataFrame, batch_id: int) -> None:
+        noted, table = f"{work}/conflicts/batch={batch_id}/part={folder_of(name).replace('/', '.')}", tables[name]
+        if not exists(spark, f"{noted}/_SUCCESS"):  # once the batch is in, all its inserts would look like conflicts
+            _conflicts(part, table, name).write.mode("overwrite").parquet(noted)
+        table.put_batch(table_delta(part, table), batch_id, runs[name])
+        if fold_every and sum(map(len, table.open_batches(spark).values())) >= fold_every:
+            table.compact(spark)
+
     def put(batch: DataFrame, batch_id: int) -> None:
-        here = f"{work}/batch={batch_id}"
+        staging = f"{work}/staged"
+        if exists(spark, staging):
+            for old in folders(spark, staging):
+                remove(spark, f"{staging}/{old}")
+        here = f"{staging}/batch={batch_id}"
         batch.write.mode("overwrite").partitionBy("schema_name", "table_name").parquet(here)
-        schema = T.StructType([f for f in batch.schema.fields])
-        staged = spark.read.schema(schema).parquet(here)
+        staged = spark.read.schema(batch.schema).parquet(here)
         unknown_tables(staged, known).write.mode("overwrite").parquet(f"{work}/unknown/batch={batch_id}")
         present = {tuple(r) for r in staged.select("schema_name", "table_name").distinct().collect()}  # names of tables
         parts = {n: staged.filter((F.col("schema_name") == n[0]) & (F.col("table_name") == n[1])) for n in tables if n in present}
-        for name, part in parts.items():
-            if (bad := unfit(part, tables[name]).select("lsn", "seq", "image").first()) is not None:
-                raise UnfitImage(f"{'.'.join(name)}: change {bad['lsn']}/{bad['seq']} does not fit: {bad['image']}")
-        for name, part in parts.items():
-            noted = f"{work}/conflicts/batch={batch_id}/part={name[0]}.{name[1]}"
-            if not exists(spark, f"{noted}/_SUCCESS"):  # once the batch is in, all its inserts would look like conflicts
-                _conflicts(part, tables[name], name).write.mode("overwrite").parquet(noted)
-            tables[name].put_batch(table_delta(part, tables[name]), batch_id, runs[name])
+        with ThreadPoolExecutor(at_once) as pool:
+            list(pool.map(check, parts, parts.values()))
+            list(pool.map(lambda name: take(name, parts[name], batch_id), parts))
 
     return (
         changes.writeStream.foreachBatch(put)

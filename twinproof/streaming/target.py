@@ -3,14 +3,15 @@
 Parquet has no row-level merge, and writing a whole table again for every micro-batch does not
 scale. So a batch only adds its own last images, and readers merge them by position:
 
-- ``base/_gen=G/_bucket=B``       rows by key bucket, as written by create or compact
-- ``delta/_run=R/_batch=N``       last images of micro-batch N of run R, put in place by one partition overwrite
-- ``commits``                     one row per generation: table id, cut, the buckets it holds, and per run the last batch folded in
+- ``base/_gen=G/_bucket=B``             rows by key bucket, as written by create or compact
+- ``delta/_run=R/_batch=N/_bucket=B``   last images of micro-batch N of run R by key bucket; readers see it once its mark is there
+- ``commits``                           one row per generation: table id, cut, the buckets it holds, and per run the last batch folded in
 
 A run is one checkpoint. ``bind`` writes table id and run beside the checkpoint's own files, so a new checkpoint is
 a new run, and a checkpoint of another table (or of this one before it was created again) is refused.
 Merging by position is idempotent, so a batch that is written twice, or is both folded in and still
-present, changes nothing. Compaction writes only buckets that changed.
+present, changes nothing. Compaction writes only buckets that changed, and whoever asks about some keys
+(``state_of``) opens base and delta files of their buckets only: what a batch costs grows with the batch.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from twinproof.operators.changes import POSITION, live_rows, merge_by_position,
 from twinproof.sinks.files import exists, folders, remove
 
 _STATE = [("_deleted", T.BooleanType()), ("_pos", T.LongType()), ("_seq", T.IntegerType())]
-_PART = [("_run", T.StringType()), ("_batch", T.LongType())]
+_PART = [("_run", T.StringType()), ("_batch", T.LongType()), ("_bucket", T.IntegerType())]
 _COMMIT_SCHEMA = "gen bigint, table_id string, cut bigint, through map<string, bigint>, buckets array<int>"
 _BOUND_SCHEMA = "table_id string, run string"
 MAX_BUCKETS = 1 << 16
@@ -99,7 +100,7 @@ class KeyedTable:
         if not replace and self.identity(spark):
             raise TargetMismatch(f"{self.path} holds a table already")
         spark.createDataFrame([], _COMMIT_SCHEMA).write.mode("overwrite").parquet(f"{self.path}/commits")
-        spark.createDataFrame([], self._schema()).write.mode("overwrite").parquet(f"{self.path}/delta")
+        remove(spark, f"{self.path}/delta")
         self._write_base(snapshot_as_state(snapshot.select(*self.columns), cut_position), 0)
         self._commit(spark, 0, (uuid.uuid4().hex, cut_position), {}, list(range(self.buckets)))
 
@@ -120,19 +121,38 @@ class KeyedTable:
         return run
 
     def put_batch(self, delta: DataFrame, batch_id: int, run: str = "") -> None:
-        """Add one micro-batch of a run. Writing the same batch again puts it in place of itself.
+        """Add one micro-batch of a run, a file per key bucket it touches.
 
-        A batch that was folded in already may only come again with what the table has: anything newer raises.
+        A batch that broke off is written again as a whole. One that is in, folded or not, may only come again with what
+        the table has: anything newer raises.
         """
         spark = delta.sparkSession
-        if batch_id <= self._current(spark)[1].get(run, -1):
-            state = self.state(spark).select(*self.keys, *[F.col(c).alias(f"_has{c}") for c in POSITION])
+        by_gen, through, _ = self._current(spark)
+        if batch_id <= through.get(run, -1) or batch_id in self.open_batches(spark, through).get(run, ()):
+            state = self.state_of(delta).select(*self.keys, *[F.col(c).alias(f"_has{c}") for c in POSITION])
             later = F.struct(*POSITION) > F.struct(*[f"_has{c}" for c in POSITION])
             if not delta.join(state, self.keys, "left").where(F.col("_has_pos").isNull() | later).isEmpty():
-                raise LostBatch(f"batch {batch_id} of run {run!r} is at or below the folded ones and brings new changes")
+                raise LostBatch(f"batch {batch_id} of run {run!r} is in already and brings new changes")
             return
-        rows = delta.withColumn("_run", F.lit(run or "none")).withColumn("_batch", F.lit(batch_id).cast("bigint"))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_run", "_batch").parquet(f"{self.path}/delta")
+        rows = self._bucketed(delta).hint("rebalance", "_bucket").write.mode("overwrite").option("partitionOverwriteMode", "static")
+        rows.partitionBy("_bucket").parquet(self._batch_path(run, batch_id))
+
+    def _batch_path(self, run: str, batch: int) -> str:
+        return f"{self.path}/delta/_run={run or 'none'}/_batch={batch}"
+
+    def open_batches(self, spark: SparkSession, through: dict[str, int] | None = None) -> dict[str, list[int]]:
+        """Per run the batches that are written in full and not folded yet."""
+        through = self._current(spark)[1] if through is None else through
+        root, found = f"{self.path}/delta", {}
+        for folder in folders(spark, root) if exists(spark, root) else []:
+            run = "" if folder == "_run=none" else folder.removeprefix("_run=")
+            numbers = [int(b.removeprefix("_batch=")) for b in folders(spark, f"{root}/{folder}") if b.startswith("_batch=")]
+            later = sorted(n for n in numbers if n > through.get(run, -1))
+            with ThreadPoolExecutor(16) as pool:  # the mark is what a job leaves last
+                done = list(pool.map(lambda n, run=run: exists(spark, f"{self._batch_path(run, n)}/_SUCCESS"), later))
+            if any(done):
+                found[run] = [n for n, ok in zip(later, done) if ok]
+        return found
 
     def _current(self, spark: SparkSession) -> tuple[dict[int, list[int]], dict[str, int], int]:
         """Buckets by generation, the last folded batch of each run, the last generation."""
@@ -156,17 +176,27 @@ class KeyedTable:
                 wanted = wanted | ((F.col("_gen") == gen) & F.col("_bucket").isin(kept))
         return base.filter(wanted).drop("_gen", "_bucket")
 
-    def _delta(self, spark: SparkSession, through: dict[str, int]) -> DataFrame:
-        delta = spark.read.schema(self._schema(*_PART)).parquet(f"{self.path}/delta")
-        open_ = F.lit(True)
-        for run, batch in through.items():  # one entry per checkpoint there ever was
-            open_ = open_ & ~((F.col("_run") == (run or "none")) & (F.col("_batch") <= batch))
-        return delta.filter(open_)
-
-    def state(self, spark: SparkSession) -> DataFrame:
-        """Newest version of every row, deleted ones included, with positions."""
+    def _delta(self, spark: SparkSession, batches: dict[str, list[int]], only: list[int] | None = None) -> DataFrame:
+        paths = [self._batch_path(run, batch) for run, numbers in batches.items() for batch in numbers]
+        if not paths:
+            return spark.createDataFrame([], self._schema())
+        delta = spark.read.schema(self._schema(*_PART)).option("basePath", f"{self.path}/delta").parquet(*paths)
+        if only is not None:
+            delta = delta.filter(F.col("_bucket").isin(only))
+        return delta.drop(*[name for name, _ in _PART])
+
+    def state(self, spark: SparkSession, only: list[int] | None = None) -> DataFrame:
+        """Newest version of every row, deleted ones included, with positions. ``only`` these buckets, if given."""
         by_gen, through, _ = self._current(spark)
-        return merge_by_position(self._base(spark, by_gen), self._delta(spark, through).drop("_run", "_batch"), self.keys)
+        return merge_by_position(self._base(spark, by_gen, only), self._delta(spark, self.open_batches(spark, through), only), self.keys)
+
+    def buckets_of(self, rows: DataFrame) -> list[int]:
+        """Numbers of the buckets that the keys of these rows are in, at most ``buckets``."""
+        return sorted(r["_bucket"] for r in self._bucketed(rows.select(*self.keys)).select("_bucket").distinct().collect())
+
+    def state_of(self, rows: DataFrame) -> DataFrame:
+        """``state`` of all buckets that hold keys of these rows."""
+        return self.state(rows.sparkSession, self.buckets_of(rows))
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Rows as of the last batch."""
@@ -178,18 +208,16 @@ class KeyedTable:
         Deletions stay as rows until ``safe_position``: give it once no change before it can still arrive.
         """
         by_gen, through, gen = self._current(spark)
-        delta = self._delta(spark, through)
-        folded = {r["_run"]: r["last"] for r in delta.groupBy("_run").agg(F.max("_batch").alias("last")).collect()}
-        if not folded:
+        batches = self.open_batches(spark, through)  # those that come meanwhile stay for the next time
+        if not batches:
             return []
-        # batches that come meanwhile stay for the next time
-        upto = F.lit(False)
-        for run, batch in folded.items():
-            upto = upto | ((F.col("_run") == run) & (F.col("_batch") <= batch))
-        delta = delta.filter(upto).drop("_run", "_batch")
-        # distinct bucket numbers, at most `self.buckets`
-        touched = sorted(r["_bucket"] for r in self._bucketed(delta).select("_bucket").distinct().collect())
-        merged = merge_by_position(self._base(spark, by_gen, touched), delta, self.keys)
+        paths = [self._batch_path(run, batch) for run, numbers in batches.items() for batch in numbers]
+        with ThreadPoolExecutor(16) as pool:
+            held = pool.map(lambda path: folders(spark, path), paths)
+        # bucket numbers, at most `self.buckets`, from the names of folders
+        touched = sorted({int(f.split("=")[1]) for names in held for f in names if f.startswith("_bucket=")})
+        folded = {run or "none": numbers[-1] for run, numbers in batches.items()}
+        merged = merge_by_position(self._base(spark, by_gen, touched), self._delta(spark, batches), self.keys)
         if safe_position is not None:
             merged = merged.filter(~F.col("_deleted") | (F.col("_pos") >= safe_position))
         self._write_base(merged, gen + 1)
@@ -200,7 +228,8 @@ class KeyedTable:
         """``(_pos, _seq)`` of the latest change that is in, None before the first."""
         by_gen, through, _ = self._current(spark)
         cut = self.identity(spark)[1]
-        both = self._base(spark, by_gen).select(*POSITION).unionByName(self._delta(spark, through).select(*POSITION))
+        delta = self._delta(spark, self.open_batches(spark, through))
+        both = self._base(spark, by_gen).select(*POSITION).unionByName(delta.select(*POSITION))
         row = both.filter(F.col("_pos") > cut).agg(F.max(F.struct(*POSITION)).alias("p")).first()
         return tuple(row["p"]) if row["p"] else None
 
@@ -215,7 +244,7 @@ class KeyedTable:
         for gen in folders(spark, f"{self.path}/base"):
             parts = [f"{gen}/{b}" for b in folders(spark, f"{self.path}/base/{gen}")]
             old += [f"{self.path}/base/{p}" for p in parts if p not in live]
-        for run in folders(spark, f"{self.path}/delta"):
+        for run in folders(spark, f"{self.path}/delta") if exists(spark, f"{self.path}/delta") else []:
             if run.startswith("_run="):
                 name = run.split("=")[1]
                 folded = through.get("" if name == "none" else name, -1)

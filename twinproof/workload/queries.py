@@ -17,7 +17,7 @@ from twinproof.operators import catalog, changes, content, counts, lag, logs, ma
 from twinproof.plans import copy as copying
 from twinproof.plans import digest_tree
 from twinproof.plans.offline import Checks, digests, run_offline
-from twinproof.plans.online import copy_online
+from twinproof.plans.online import copy_online, copy_online_tables
 from twinproof.session import work_dir
 from twinproof.sinks.archive import load_table, write_archive, write_split
 from twinproof.sources import generate
@@ -485,6 +485,11 @@ def online_resume(spark, sf):
 _ONLINE = {"customer": ("c_custkey", "c_acctbal"), "orders": ("o_orderkey", "o_totalprice"), "supplier": ("s_suppkey", "s_nationkey")}
 
 
+def _record(rows: DataFrame, name: str, op: str, lsn) -> DataFrame:
+    place = [lsn.cast("decimal(20,0)").alias("lsn"), F.lit(0).alias("seq"), F.lit("public").alias("schema_name"), F.lit(name).alias("table_name")]
+    return rows.select(*place, F.lit(op).alias("op"), F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("image"))
+
+
 def _final_sql(name: str) -> str:
     key, value = _ONLINE[name]
     return f"SELECT * REPLACE (CASE WHEN {key} % 4 = 1 THEN {value} + 1 ELSE {value} END AS {value}) FROM {name} WHERE {key} % 8 <> 2"
@@ -498,19 +503,15 @@ def online_copy_tables(spark, sf):
     root, names = work_dir(spark, "online-tables"), list(_ONLINE)
     tables, wanted, targets, sent = d.source_tables(spark, sf, [*names, "part"]), {}, {}, []
 
-    def records(rows: DataFrame, name: str, op: str, lsn) -> DataFrame:
-        place = [lsn.cast("decimal(20,0)").alias("lsn"), F.lit(0).alias("seq"), F.lit("public").alias("schema_name"), F.lit(name).alias("table_name")]
-        return rows.select(*place, F.lit(op).alias("op"), F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("image"))
-
     for name, (key, value) in _ONLINE.items():
         rows, k = tables["public", name], F.col(key)
         changed = rows.withColumn(value, F.when(k % 4 == 1, F.col(value) + 1).otherwise(F.col(value)))
         wanted["public", name] = changed.filter(k % 8 != 2)
         targets["public", name] = KeyedTable(f"{root}/{name}", _ROW_KEYS[name], rows.schema, buckets=4)
         targets["public", name].create(rows.filter(k % 4 != 3), 100 - (1 << 63))  # as _pos of these changes
-        sent += [records(rows.filter(k % 4 == 3), name, "I", k + 101), records(changed.filter(k % 4 == 1), name, "U", k + 101)]
-        sent += [records(rows.filter(k % 8 == 2), name, "D", k + 101), records(rows.filter(k % 8 == 0), name, "I", k + 101)]
-    sent.append(records(tables["public", "part"], "part", "I", F.col("p_partkey") + 101))
+        sent += [_record(rows.filter(k % 4 == 3), name, "I", k + 101), _record(changed.filter(k % 4 == 1), name, "U", k + 101)]
+        sent += [_record(rows.filter(k % 8 == 2), name, "D", k + 101), _record(rows.filter(k % 8 == 0), name, "I", k + 101)]
+    sent.append(_record(tables["public", "part"], "part", "I", F.col("p_partkey") + 101))
     _union(sent).write.parquet(f"{root}/changes")
     stream = spark.readStream.schema(RECORD).parquet(f"{root}/changes")
     apply_tables(stream, targets, f"{root}/checkpoint", f"{root}/work", cut_lsn=100).awaitTermination()
@@ -523,6 +524,58 @@ def online_copy_tables(spark, sf):
     return out.select("table_name", "n", F.col("digest").eqNullSafe(F.col("want")).alias("equal"), F.coalesce("conflicts", F.lit(0)).alias("conflicts"), F.lit(unknown).cast("bigint").alias("unknown"))
 
 
+@query(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n, true AS equal, count(*) FILTER ({k} % 8 = 0)::BIGINT AS conflicts, (SELECT max({k}) FROM {t})::BIGINT AS mark FROM ({_final_sql(t)})"
+    for t, (k, _) in _ONLINE.items()))
+def online_tables_resume(spark, sf):
+    """Three tables copied online over one stream: killed after a write, compacted, gated halfway, and run to the end.
+
+    A row's change stands at its key plus 101, so the source as of any position can be told from the tables.
+    """
+    root, tables = work_dir(spark, "tables-resume"), d.source_tables(spark, sf, list(_ONLINE))
+
+    def source_at(position: int) -> dict:
+        found = {}
+        for name, (key, value) in _ONLINE.items():
+            k, rows = F.col(key), tables["public", name]
+            due = k + 101 <= F.lit(position)
+            rows = rows.filter(F.when(due, k % 8 != 2).otherwise(k % 4 != 3))
+            found["public", name] = rows.withColumn(value, F.when(due & (k % 4 == 1), F.col(value) + 1).otherwise(F.col(value)))
+        return found
+
+    sent, after = [], source_at(2**62)
+    for name, (key, _) in _ONLINE.items():
+        rows, k = tables["public", name], F.col(key)
+        for op, picked in [("I", rows.filter(k % 4 == 3)), ("U", after["public", name].filter(k % 4 == 1)), ("D", rows.filter(k % 8 == 2)), ("I", rows.filter(k % 8 == 0))]:
+            sent.append(_record(picked, name, op, k + 101))
+    log, half = _union(sent), tables["public", "orders"].agg(F.max("o_orderkey")).first()[0] // 2 + 101
+    source_marks = marks.max_key(tables, {n: _ONLINE[n[1]][0] for n in tables})
+    arguments = {"source_marks": source_marks, "target_marks": source_marks.withColumn("last_value", F.lit(1).cast("bigint"))}
+
+    def run(kind=KeyedTable):
+        targets = {n: (kind if n[1] == "orders" else KeyedTable)(f"{root}/{n[1]}", _ROW_KEYS[n[1]], t.schema, buckets=4) for n, t in tables.items()}
+        stream = spark.readStream.schema(RECORD).parquet(f"{root}/changes")
+        return targets, copy_online_tables(
+            source_at(100), stream, targets, f"{root}/checkpoint", f"{root}/work", cut_lsn=100, source_at=source_at, fold_every=2, **arguments
+        )
+
+    log.filter(F.col("lsn") <= half).write.mode("append").parquet(f"{root}/changes")
+    try:
+        run(_DiesOnce)
+    except StreamingQueryException as killed:
+        if "lost after the write" not in str(killed):
+            raise
+    KeyedTable(f"{root}/orders", ["o_orderkey"], tables["public", "orders"].schema, buckets=4).compact(spark)
+    run()
+    log.filter(F.col("lsn") > half).write.mode("append").parquet(f"{root}/changes")
+    targets, result = run()
+    copied, keys = {n: t.read(spark) for n, t in targets.items()}, {n: _ROW_KEYS[n[1]] for n in targets}
+    same = digests(copied, keys).join(digests(after, keys).select("table_name", F.col("digest").alias("want")), "table_name")
+    conflicts = Reports(f"{root}/work").conflicts(spark).groupBy("table_name").agg(F.sum("inserts").alias("conflicts"))
+    out = same.join(conflicts, "table_name", "left").join(result.marks.select(F.col("name").alias("table_name"), F.col("new_value").alias("mark")), "table_name")
+    return out.select("table_name", "n", F.col("digest").eqNullSafe(F.col("want")).alias("equal"), F.coalesce("conflicts", F.lit(0)).alias("conflicts"), "mark")
+
+
 # === lag ========================================================================================
 
 _HEX = "upper(printf('%x/%x', event_id * 7919 // 4294967296, event_id * 7919 % 4294967296))"
