@@ -356,7 +356,12 @@ def test_a_batch_is_seen_whole_or_not_at_all(spark, tmp_path):
     mark = f"{tmp_path}/target/delta/_run=r/_batch=0/_SUCCESS"
     os.remove(mark)  # as after a kill before the job's end
     assert rows(target.read(spark)) == replay(START, []) and target.compact(spark) == [] and target.last_position(spark) is None
-    target.put_batch(delta, 0, run="r")
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        target.put_batch(delta, 0, run="r")
+    finally:
+        hadoop.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
     assert rows(target.read(spark)) == replay(START, [(200, i, "U", str(i), 7) for i in range(8)])
     with pytest.raises(LostBatch):
         target.put_batch(c.changes_as_delta(log(spark, [(201, 0, "U", "3", 8)]), ["id"], ["id", "name", "qty"]), 0, run="r")

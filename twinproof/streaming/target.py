@@ -135,6 +135,8 @@ class KeyedTable:
                 raise LostBatch(f"batch {batch_id} of run {run!r} is in already and brings new changes")
             return
         rows = self._bucketed(delta).hint("rebalance", "_bucket").write.mode("overwrite").option("partitionOverwriteMode", "static")
+        # the mark decides what readers see, so a session that leaves it out must not
+        rows = rows.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
         rows.partitionBy("_bucket").parquet(self._batch_path(run, batch_id))
 
     def _batch_path(self, run: str, batch: int) -> str:
