@@ -79,3 +79,26 @@ def test_parity_maps_lose_no_pair():
             while len(y) > len(x):
                 y = y[: len(y) // 2] ^ y[len(y) // 2 :]
             assert sum(int(w).bit_count() for w in (x ^ y).view(np.uint64)) <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def test_pairs_of_a_group_do_not_grow_with_its_square(spark, monkeypatch):
+    rnd, counts, write = random.Random(9), [], shingles.written
+    rows = []
+    for _ in range(240):
+        copy = [f"w{i}" for i in range(150)]
+        for _ in range(rnd.randrange(1, 4)):
+            copy[rnd.randrange(len(copy))] = f"x{rnd.randrange(4)}"
+        rows.append(" ".join(copy))
+
+    def counted(df, purpose):
+        out = write(df, purpose)
+        if purpose == "shingles-pairs":
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(shingles, "written", counted)
+    # as if the sets with the lowest and the highest hash were like no other
+    monkeypatch.setattr(shingles, "_to_ends", lambda posts, percent: posts.selectExpr("sid AS a", "sid AS b").where("a < b"))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()} == set(groups(rows)[0].values())
+    assert sum(counts) <= 20 * len(rows), counts
