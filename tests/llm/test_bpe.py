@@ -113,3 +113,13 @@ def test_query(spark):
         ids = theirs.encode_ordinary(r.text or "")
         want[r.doc_id] = (len(ids), sha(" ".join(map(str, ids))), sha(theirs.decode(ids)))
     assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in QUERIES["op12_byte_bpe"](spark, sf).collect()} == want
+
+
+def test_a_task_of_the_query_has_one_python_process(spark, tmp_path):
+    """Spark hands idle processes to any step, so with two steps in a task each of them comes to hold an encoder."""
+    from twinproof.llm.queries import QUERIES
+
+    spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op12_byte_bpe"](spark, str(tmp_path))
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r.doc_id: r.n_tokens > 0 for r in found.collect()} == {i: bool(t) for i, t in enumerate(TEXTS)}
