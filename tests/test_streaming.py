@@ -413,3 +413,24 @@ def test_online_copy_of_tables_folds_cleans_up_and_compares_at_its_position(spar
         run(lambda position: {**source_at(position), names[0]: first})
     with pytest.raises(TargetMismatch):
         copy_online_tables(snapshot, spark.readStream.schema(RECORD).parquet(f"{tmp_path}/in"), targets, f"{tmp_path}/cp9", f"{tmp_path}/w9", cut_lsn=98, source_at=source_at)
+
+
+def test_each_image_is_parsed_once_by_the_fit_check_and_in_one_look(spark):
+    from twinproof.streaming import apply_tables as a
+
+    target = KeyedTable("/nowhere", ["id"], table(spark, START).schema)
+    image = "concat('{', " + ", ', ', ".join(f"""'"{c}": "', id, '"'""" for c in target.columns) + ", '}')"
+    place = ["cast(id AS decimal(20,0)) AS lsn", "0 AS seq", "'public' AS schema_name", "'t' AS table_name", "'U' AS op"]
+    good = spark.range(0, 400, 1, 40).selectExpr(*place, f"{image} AS image")
+    plan = a.unfit(good, target)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    spark.sparkContext.setJobGroup("fit", "fit")
+    try:
+        assert a.first_unfit(good, target) is None
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("fit")) <= 2
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    wrong = [F.lit(x).alias("image") for x in ("{}", "[]", "nope", '{"no such": 1}')]
+    for x in [*wrong, F.lit(None).cast("string").alias("image")]:
+        odd = good.withColumn("image", F.when(F.col("lsn") >= 7, x).otherwise(F.col("image")))
+        assert tuple(a.first_unfit(odd, target))[:2] == (7, 0) and a.unfit(odd, target).count() == 393

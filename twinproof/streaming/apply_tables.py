@@ -9,7 +9,7 @@ import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -42,17 +42,29 @@ def unfit(changes: DataFrame, table: KeyedTable) -> DataFrame:
 
     Inserts and updates name all columns, deletes at least the key. A field that is JSON null is a NULL value.
     """
-    fields = F.json_object_keys("image")
     wanted = F.array(*[F.lit(c) for c in table.columns])
     keys = F.array(*[F.lit(k) for k in table.keys])
-    missing = F.when(F.col("op") == "D", F.size(F.array_except(keys, fields)) > 0).otherwise(F.size(F.array_except(wanted, fields)) > 0)
-    lost = F.lit(False)
-    for f in table.schema.fields:
-        given = F.get_json_object("image", f"$['{f.name}']").isNotNull()
-        lost = lost | (given & F.col("_row")[f.name].isNull())
-    parsed = changes.withColumn("_row", _image(table))
-    bad = fields.isNull() | missing | (F.size(F.array_except(fields, wanted)) > 0) | lost
-    return parsed.filter(F.coalesce(bad, F.lit(True))).drop("_row")
+
+    def bad(read: Column) -> Column:
+        fields, row = read["fields"], read["row"]
+        missing = F.when(F.col("op") == "D", F.size(F.array_except(keys, fields)) > 0).otherwise(F.size(F.array_except(wanted, fields)) > 0)
+        lost = F.lit(False)
+        for f in table.schema.fields:
+            lost = lost | (row[f.name].isNull() & F.get_json_object("image", f"$['{f.name}']").isNotNull())
+        return fields.isNull() | missing | (F.size(F.array_except(fields, wanted)) > 0) | lost
+
+    # as a variable: a column would be replaced by its expression, and the image parsed anew for each field
+    read = F.array(F.struct(F.json_object_keys("image").alias("fields"), _image(table).alias("row")))
+    return changes.filter(F.coalesce(F.exists(read, bad), F.lit(True)))
+
+
+def first_unfit(changes: DataFrame, table: KeyedTable) -> Row | None:
+    """``lsn, seq, image`` of the first change that does not fit, None if all do.
+
+    The minimum of all looks at all partitions at once; to ask for any row looks at one, then at four more, and so on, and
+    as a rule there is none to be found.
+    """
+    return unfit(changes, table).agg(F.min(F.struct("lsn", "seq", "image")).alias("bad")).first()["bad"]
 
 
 def table_delta(changes: DataFrame, table: KeyedTable) -> DataFrame:
@@ -111,7 +123,7 @@ def apply_tables(
     changes = after(filter_changes(changes, scope) if scope else changes, cut_lsn)
 
     def check(name: Name, part: DataFrame) -> None:
-        if (bad := unfit(part, tables[name]).select("lsn", "seq", "image").first()) is not None:
+        if (bad := first_unfit(part, tables[name])) is not None:
             raise UnfitImage(f"{'.'.join(name)}: change {bad['lsn']}/{bad['seq']} does not fit: {bad['image']}")
 
     def take(name: Name, part: DataFrame, batch_id: int) -> None:
