@@ -103,3 +103,53 @@ def test_pairs_of_a_group_do_not_grow_with_its_square(spark, monkeypatch):
     assert {r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()} == set(groups(rows)[0].values())
     # the rounds compare each set to a bounded number at each of its places; what is left for the last step, all pairs, is little
     assert counts[-1] <= len(rows), counts
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    import os
+    import tempfile
+    import time
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    from twinproof.llm import tables
+
+    def left():
+        tops = os.environ.get("SPARK_LOCAL_DIRS") or spark.sparkContext.getConf().get("spark.local.dir", tempfile.gettempdir())
+        return {f for top in tops.split(",") for f in Path(top).glob("**/blockmgr-*/*/shuffle_*")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    value, before = spark.conf.get(setting, None), left()
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.collect_list("id").alias("ids"))
+    counted.write.parquet(str(tmp_path / "plain"))
+    assert left() - before  # files are looked for where they are
+    before = left()
+    out = tables.written(counted, "counted")
+    end = time.time() + 20
+    while left() - before and time.time() < end:  # executors are told, not waited for
+        time.sleep(0.2)
+    assert not left() - before
+    assert spark.conf.get(setting, None) == value
+    assert out.count() == 7
+
+
+def test_a_parity_map_is_stored_once_for_a_set(spark, monkeypatch):
+    rnd, seen, write = random.Random(9), {}, shingles.written
+    rows = []
+    for _ in range(60):
+        copy = [f"w{i}" for i in range(150)]
+        for _ in range(rnd.randrange(1, 4)):
+            copy[rnd.randrange(len(copy))] = f"x{rnd.randrange(4)}"
+        rows.append(" ".join(copy))
+
+    def noted(df, purpose):
+        seen.setdefault(purpose, []).append(df.columns)
+        return write(df, purpose)
+
+    monkeypatch.setattr(shingles, "written", noted)
+    monkeypatch.setattr(shingles, "_to_ends", lambda posts, percent: posts.selectExpr("sid AS a", "sid AS b").where("a < b"))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()} == set(groups(rows)[0].values())
+    assert len(seen["shingles-rooted"]) > 1  # posts are given roots anew, without the maps
+    assert not [c for c in seen["shingles-rooted"] if "parity" in c]
