@@ -153,3 +153,53 @@ def test_a_parity_map_is_stored_once_for_a_set(spark, monkeypatch):
     assert {r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()} == set(groups(rows)[0].values())
     assert len(seen["shingles-rooted"]) > 1  # posts are given roots anew, without the maps
     assert not [c for c in seen["shingles-rooted"] if "parity" in c]
+
+
+def test_stage_leaves_the_table_that_its_result_reads(spark, tmp_path, monkeypatch):
+    import uuid
+
+    from twinproof.llm import tables
+
+    made = []
+
+    def folder(spark, purpose):
+        made.append(purpose)
+        return f"{tmp_path}/{purpose}-{uuid.uuid4().hex}"
+
+    monkeypatch.setattr(tables, "work_dir", folder)
+    rows = texts(7)
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = corpus_pipeline.near_copies(spark, docs, "")
+    assert len(made) > 10
+    assert [p.name.partition("-")[0] for p in tmp_path.iterdir()] == ["kept"]
+    assert {r.doc_id for r in found.collect()} == set(groups(rows)[0].values())
+
+
+def test_edges_that_are_stars_take_no_round(spark, monkeypatch):
+    from twinproof.llm import components
+
+    made, write = [], components.written
+    monkeypatch.setattr(components, "written", lambda df, purpose: made.append(purpose) or write(df, purpose))
+    edges = [(0, i) for i in range(1, 30)] + [(100, 101), (7, 7), (None, 5), (100, 101)]
+    got = components.connected_components(spark.createDataFrame(edges, "x long, y long"), "x", "y")
+    assert {(r.node, r.root) for r in got.collect()} == {(i, 0) for i in range(30)} | {(100, 100), (101, 100)}
+    assert len(made) == 1
+
+
+def test_rounds_link_roots_and_not_their_sets_again(spark, monkeypatch):
+    from twinproof.llm import components
+
+    sizes, write = [], components.written
+
+    def counted(df, purpose):
+        out = write(df, purpose)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(components, "written", counted)
+    posts = [(s, sid, 20, sid % 3) for sid in range(90) for s in (1, 2 + sid)]
+    open_ = spark.createDataFrame(posts, "s long, sid long, n long, root long")
+    more = spark.createDataFrame([(3 * i + 1, 3 * j + 2) for i in range(30) for j in range(30)], "a long, b long")
+    got = shingles._rooted_anew(open_, more)
+    assert sorted(map(tuple, got.collect())) == sorted((s, sid, 20, min(root, 1)) for s, sid, _, root in posts)
+    assert sizes == [1]
